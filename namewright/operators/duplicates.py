@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -149,7 +151,7 @@ def duplicate_records(
 def is_unique(df: DataFrame, cols: list[str]) -> bool:
     """Whether no two rows agree in ``cols`` and none of them is null."""
     require(df, cols)
-    some_null = F.greatest(*[F.col(c).isNull() for c in cols]) if len(cols) > 1 else F.col(cols[0]).isNull()
+    some_null = reduce(Column.__or__, [F.col(c).isNull() for c in cols])
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
     return counted.filter((F.col("__n") > 1) | some_null).isEmpty()
 

@@ -32,7 +32,8 @@ def enrich(rows: DataFrame, lookup: DataFrame, key: str, col: str, limits: Limit
     require(rows, [key, col], "rows")
     require(lookup, [key, col], "lookup")
     found = lookup.groupBy(key).agg(F.min(col).alias("__found"), F.lit(True).alias("__hit"))
-    joined = lookup_join(rows, found, [key], limits=limits)
+    small = fits_broadcast(lookup.select(key, col), limits)
+    joined = lookup_join(rows, found, [key], small=small, limits=limits)
     value = F.when(F.col("__hit"), F.col("__found")).otherwise(F.col(col))
     return joined.withColumn(col, value).select(*rows.columns)
 
@@ -72,14 +73,16 @@ def unify_ids(
         groups.filter(F.col("__flagged") & F.col("__lowest").isNotNull() & mixed).select(*group, "__lowest"), "groups"
     )
 
+    small = fits_broadcast(changing, limits)
+
     def rewrite(part: DataFrame) -> DataFrame:
-        joined = lookup_join(part, changing, group, null_safe=True, limits=limits)
+        joined = lookup_join(part, changing, group, null_safe=True, small=small, limits=limits)
         changed = flagged & F.col("__lowest").isNotNull() & differs(F.col(id_col), F.col("__lowest"))
         new_id = F.when(changed, F.col("__lowest")).otherwise(F.col(id_col))
         deprecated = F.when(changed, F.col(id_col)).otherwise(F.col(deprecated_col))
         return joined.withColumns({id_col: new_id, deprecated_col: deprecated}).select(*rows.columns)
 
-    if include_unmapped or fits_broadcast(changing, limits):
+    if include_unmapped or small:
         return rewrite(rows)
     return rewrite(rows.filter(flagged)).unionByName(rows.filter(~flagged))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namewright.functions import norm_key, not_blank
-from namewright.plans.joins import DEFAULT_LIMITS, Limits, lookup_join
+from namewright.plans.joins import DEFAULT_LIMITS, Limits, fits_broadcast, lookup_join
 from namewright.plans.shared import settle
 from namewright.sources.tables import require
 
@@ -30,7 +30,8 @@ def upsert(
     if target is None:
         return fresh
     require(target, key, "target")
-    kept = lookup_join(target, fresh.select(*key), key, "left_anti", limits=limits)
+    small = fits_broadcast(updates.select(*key), limits)
+    kept = lookup_join(target, fresh.select(*key), key, "left_anti", small=small, limits=limits)
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -59,15 +60,17 @@ def apply_mapping(
     require(mapping, ["original", "normalized"], "mapping")
     others = passthrough if passthrough is not None else [c for c in rows.columns if c != col]
     targets = _unique_targets(mapping)
+    small = fits_broadcast(mapping.select("original", "normalized"), limits)
 
     named = rows.filter(not_blank(F.col(col)))
     exact = targets.select(F.col("original").alias(col), F.col("normalized").alias("__target"))
-    joined = lookup_join(named, exact, [col], limits=limits)
+    joined = lookup_join(named, exact, [col], small=small, limits=limits)
     target = F.col("__target")
     if fold:
         by_key = targets.groupBy(norm_key(F.col("original")).alias("__folded"))
         folded = by_key.agg(F.max("normalized").alias("__folded_target"))
-        joined = lookup_join(joined.withColumn("__folded", norm_key(F.col(col))), folded, ["__folded"], limits=limits)
+        keyed = joined.withColumn("__folded", norm_key(F.col(col)))
+        joined = lookup_join(keyed, folded, ["__folded"], small=small, limits=limits)
         target = F.coalesce(target, F.col("__folded_target"))
     return joined.select(
         F.coalesce(target, F.col(col)).alias(col),

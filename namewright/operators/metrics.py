@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from namewright.plans.joins import DEFAULT_LIMITS, Limits, lookup_join
+from namewright.plans.joins import DEFAULT_LIMITS, Limits, fits_broadcast, lookup_join
 from namewright.sources.tables import require
 
 # Lengths of a throughput bucket.
@@ -86,7 +86,8 @@ def lag_pairs(
     require(indexed, [key, indexed_col], "indexed")
     recent = _in_last_minutes(indexed.select(key, indexed_col), indexed_col, window_minutes, until)
     last = changes.groupBy(key).agg(F.max(changed_col).alias("__changed"))
-    joined = lookup_join(recent, last, [key], limits=limits).filter(F.col("__changed").isNotNull())
+    small = fits_broadcast(changes.select(key, changed_col), limits)
+    joined = lookup_join(recent, last, [key], small=small, limits=limits).filter(F.col("__changed").isNotNull())
     lag = (F.col(indexed_col) - F.col("__changed")).cast("interval second")
     return joined.select(
         key,

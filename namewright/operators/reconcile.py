@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from namewright.functions import norm_key, stable_id
-from namewright.plans.joins import DEFAULT_LIMITS, Limits, known_keys, lookup_join
+from namewright.plans.joins import DEFAULT_LIMITS, Limits, drop_known
 from namewright.sources.tables import require
 
 KeyPairs = list[tuple[str, str]]
@@ -33,34 +33,46 @@ def compare_tables_by_keys(left: DataFrame, right: DataFrame, keys: KeyPairs) ->
 
     def counted(df: DataFrame, cols: list[str], side: str) -> DataFrame:
         normed = [norm_key(F.col(c)).alias(f"{side}_{n}") for c, n in zip(cols, names)]
-        spelled = df.select(*normed, F.col(cols[0]).cast("string").alias(f"uuid_{side}"))
+        spelled = df.filter(F.col(cols[0]).isNotNull()).select(
+            *normed, F.col(cols[0]).cast("string").alias(f"uuid_{side}")
+        )
         return spelled.groupBy(*spelled.columns).agg(F.count(F.lit(1)).alias(f"{side}_rows"))
 
     a = counted(left, [k for k, _ in keys], "left")
     b = counted(right, [k for _, k in keys], "right")
     same = reduce(Column.__and__, [a[f"left_{n}"] == b[f"right_{n}"] for n in names])
-    joined = a.join(b, same, "full_outer")
     in_left, in_right = F.col("uuid_left").isNotNull(), F.col("uuid_right").isNotNull()
-    match_type = (
-        F.when(in_left & in_right, "match")
-        .when(in_left, "only_in_left")
-        .when(in_right, "only_in_right")
-        .otherwise("unknown")
-    )
+    match_type = F.when(in_left & in_right, "match").when(in_left, "only_in_left").otherwise("only_in_right")
     rows = F.coalesce("left_rows", F.lit(1)) * F.coalesce("right_rows", F.lit(1))
-    out = joined.select(match_type.alias("match_type"), "uuid_left", "uuid_right", rows.alias("__pairs"))
-    return out.groupBy("match_type", "uuid_left", "uuid_right").agg(F.sum("__pairs").alias("pairs"))
+    columns = ["match_type", "uuid_left", "uuid_right"]
+    known = a.join(b, same, "full_outer").select(match_type.alias("match_type"), *columns[1:], rows.alias("pairs"))
+    if len(keys) > 1:
+        # The same spellings may meet under several values of the other keys.
+        known = known.groupBy(*columns).agg(F.sum("pairs").alias("pairs"))
+
+    # Rows without a first key match nothing and show nothing: they only need counting.
+    blank = [df.filter(F.col(k).isNull()).select(F.lit(1).alias("n")) for df, k in zip((left, right), keys[0])]
+    unknown = (
+        blank[0]
+        .unionByName(blank[1])
+        .agg(F.count("n").alias("pairs"))
+        .filter("pairs > 0")
+        .select(
+            F.lit("unknown").alias("match_type"),
+            F.lit(None).cast("string").alias("uuid_left"),
+            F.lit(None).cast("string").alias("uuid_right"),
+            "pairs",
+        )
+    )
+    return known.unionByName(unknown)
 
 
-def _unmatched(
-    incoming: DataFrame, existing: DataFrame, keys: KeyPairs, limits: Limits
-) -> DataFrame:
+def _unmatched(incoming: DataFrame, existing: DataFrame, keys: KeyPairs, limits: Limits) -> DataFrame:
     """Incoming rows none of the existing rows agrees with; a null key agrees with nothing."""
     names = [f"__n{i}" for i in range(len(keys))]
     tagged = incoming.withColumns({n: norm_key(F.col(k)) for n, (k, _) in zip(names, keys)})
     present = existing.select(*[norm_key(F.col(k)).alias(n) for n, (_, k) in zip(names, keys)])
-    known = known_keys(present, tagged, names, limits)
-    return lookup_join(tagged, known, names, "left_anti", limits=limits).drop(*names)
+    return drop_known(tagged, present, names, limits).drop(*names)
 
 
 def preview_new_rows(
@@ -91,32 +103,38 @@ def preview_new_rows(
     )
 
 
+def _one_each(rows: DataFrame, by: list[str], order: Column) -> DataFrame:
+    """The first row of each key. One row per key and task is left before the shuffle, so a hot key is no burden."""
+    first = W.partitionBy(*by).orderBy(order)
+    return rows.withColumn("__rank", F.row_number().over(first)).filter("__rank = 1").drop("__rank")
+
+
 def rows_to_insert(
     target: DataFrame, incoming: DataFrame, keys: list[str], limits: Limits = DEFAULT_LIMITS
 ) -> DataFrame:
-    """One incoming row for every key the target lacks; the smallest row of those that share the key.
+    """One incoming row for every key the target lacks; of those that share the key the smallest as JSON text.
 
-    A row with a null key is known by its whole content instead, so inserting the same batch twice adds nothing.
-    The choice within a key keeps one row per task before the shuffle, so a hot key is no burden.
+    A row with a null key is known by its whole content instead, so inserting the same batch twice adds nothing. The
+    target is read in its key columns only, but for such rows.
     """
     require(target, [*keys, *incoming.columns], "target")
     require(incoming, keys, "incoming")
     columns = incoming.columns
-    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     content = F.to_json(F.struct(*[F.col(f"`{c}`").cast(target.schema[c].dataType) for c in sorted(columns)]))
-    normed = F.to_json(F.struct(*[norm_key(F.col(k)).alias(f"k{i}") for i, k in enumerate(keys)]))
-    identity = F.when(no_key, F.concat(F.lit("row:"), F.sha2(content, 256))).otherwise(
-        F.concat(F.lit("key:"), F.sha2(normed, 256))
-    )
-    best = W.partitionBy("__identity").orderBy(content)
-    one_each = (
-        incoming.withColumn("__identity", identity)
-        .withColumn("__rank", F.row_number().over(best))
-        .filter("__rank = 1")
-        .drop("__rank")
-    )
-    known = known_keys(target.select(identity.alias("__identity")), one_each, ["__identity"], limits)
-    return lookup_join(one_each, known, ["__identity"], "left_anti", limits=limits).select(*columns)
+    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    names = {f"__n{i}": norm_key(F.col(k)) for i, k in enumerate(keys)}
+
+    keyed = _one_each(incoming.filter(~no_key).withColumns(names), list(names), content)
+    had = target.filter(~no_key).select(*[col.alias(name) for name, col in names.items()])
+    new = drop_known(keyed, had, list(names), limits).select(*columns)
+
+    keyless = incoming.filter(no_key)
+    if keyless.isEmpty():
+        return new
+    digest = F.sha2(content, 256).alias("__row")
+    had_rows = target.filter(no_key).select(digest)
+    new_rows = drop_known(_one_each(keyless.select("*", digest), ["__row"], content), had_rows, ["__row"], limits)
+    return new.unionByName(new_rows.select(*columns))
 
 
 def insert_missing(

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from namewright.plans.shared import settle
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -77,12 +79,17 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     null_safe: bool = False,
+    small: bool | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Join ``rows`` (left, left_semi or left_anti) with a lookup that is unique on ``on``."""
+    """Join ``rows`` (left, left_semi or left_anti) with a lookup that is unique on ``on``.
+
+    ``small`` is the answer of fits_broadcast() for the table the lookup was reduced from, where the caller has it: a
+    scan of that table is cheaper than building the lookup just to measure it.
+    """
     if how not in ("left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
-    if fits_broadcast(lookup, limits):
+    if small if small is not None else fits_broadcast(lookup, limits):
         return _join(rows, F.broadcast(lookup), on, how, null_safe)
     hot = [] if rows.isStreaming else hot_hashes(rows, on, limits)
     if not hot:
@@ -93,10 +100,28 @@ def lookup_join(
     return spread.unionByName(pinned)
 
 
-def known_keys(keys: DataFrame, incoming: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Distinct non-null ``keys``, narrowed to those of ``incoming`` by a map-side semi join when that side is small."""
-    present = keys.select(*on).na.drop("any")
-    wanted = incoming.select(*on).na.drop("any").distinct()
-    if not incoming.isStreaming and fits_broadcast(wanted, limits):
-        present = _join(present, F.broadcast(wanted), on, "left_semi", null_safe=False)
-    return present.distinct()
+def few_keys(df: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS) -> bool:
+    """Whether the distinct keys are likely to fit a broadcast, from one pass without a shuffle."""
+    distinct, widest = df.select(*on).agg(
+        F.approx_count_distinct(F.xxhash64(*on)), F.coalesce(F.max(_width(df.select(*on))), F.lit(0))
+    ).first()
+    return distinct <= limits.broadcast_rows and distinct * widest <= limits.broadcast_bytes
+
+
+def drop_known(
+    incoming: DataFrame, existing: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
+    """Incoming rows whose key no existing row has; a null key is never had.
+
+    Few incoming keys are broadcast to the existing rows, of which only the matching keys then move: a small batch
+    against a huge table shuffles next to nothing. Otherwise both sides are shuffled, the existing keys as distinct
+    ones, hot keys of the incoming rows apart.
+    """
+    present = existing.select(*on).na.drop("any")
+    if few_keys(incoming, on, limits):
+        wanted = settle(incoming.select(*on).na.drop("any").distinct(), "keys")
+        if fits_broadcast(wanted, limits):
+            # A subset of `wanted`, so it fits as well.
+            known = settle(_join(present, F.broadcast(wanted), on, "left_semi", null_safe=False).distinct(), "keys")
+            return lookup_join(incoming, known, on, "left_anti", small=True, limits=limits)
+    return lookup_join(incoming, present.distinct(), on, "left_anti", small=False, limits=limits)
