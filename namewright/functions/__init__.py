@@ -1,6 +1,7 @@
 """Column expressions; no Python UDF anywhere."""
 
 from namewright.functions.exprs import (
+    SHORT_KEY_CHARS,
     differs,
     dup_key,
     iso_utc,
@@ -12,6 +13,7 @@ from namewright.functions.exprs import (
 )
 
 __all__ = [
+    "SHORT_KEY_CHARS",
     "differs",
     "dup_key",
     "iso_utc",

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from namewright.functions import dup_key, short_key
-from namewright.plans.shared import settle
+from namewright.functions import SHORT_KEY_CHARS, dup_key, short_key
+from namewright.plans.shared import Settled, settle
 from namewright.sources.tables import require
 
 # Ids in one list; a group with more of them gets several lists.
@@ -28,7 +28,11 @@ def _values(df: DataFrame, columns: list[str], case_insensitive: bool) -> dict[s
     return {c: dup_key(F.col(f"`{c}`"), df.schema[c].dataType, case_insensitive) for c in columns}
 
 
-def _top_groups(df: DataFrame, values: dict[str, Column], limit: int) -> DataFrame:
+def _is_long(key: Column) -> Column:
+    return F.length(key) > SHORT_KEY_CHARS
+
+
+def _top_groups(df: DataFrame, values: dict[str, Column], limit: int) -> Settled:
     """The ``limit`` largest groups of every column as (__column, __key, __count, __rank).
 
     All columns are counted in one pass, combined map-side, so a value owning a third of the rows sends one row a
@@ -39,7 +43,11 @@ def _top_groups(df: DataFrame, values: dict[str, Column], limit: int) -> DataFra
     pairs = keyed.unpivot([], list(values), "__column", "__key").filter(F.col("__key").isNotNull())
     counts = pairs.groupBy("__column", "__key").agg(F.count(F.lit(1)).alias("__count")).filter("__count > 1")
     order = W.partitionBy("__column").orderBy(F.col("__count").desc(), "__key")
-    return settle(counts.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= limit), "groups")
+    return settle(
+        counts.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= limit),
+        "groups",
+        long_keys=F.count_if(_is_long(F.col("__key"))),
+    )
 
 
 def _members(df: DataFrame, values: dict[str, Column], groups: DataFrame, limit: int) -> DataFrame:
@@ -53,17 +61,16 @@ def _value_of_column(values: dict[str, Column]) -> Column:
     return F.coalesce(*[F.when(F.col("__column") == c, v) for c, v in values.items()])
 
 
-def _with_values(df: DataFrame, values: dict[str, Column], groups: DataFrame, limit: int) -> DataFrame:
+def _with_values(df: DataFrame, values: dict[str, Column], groups: Settled, limit: int) -> DataFrame:
     """Add ``__value``, the full text of the group. Only digest keys need a look at the rows for it."""
-    long_groups = groups.filter(F.col("__key").startswith("sha256:"))
-    if long_groups.isEmpty():
-        return groups.withColumn("__value", F.col("__key"))
+    if groups.measures["long_keys"] == 0:
+        return groups.df.withColumn("__value", F.col("__key"))
     texts = (
-        _members(df, values, long_groups, limit)
+        _members(df, values, groups.df.filter(_is_long(F.col("__key"))), limit)
         .groupBy("__column", "__rank")
         .agg(F.min(_value_of_column(values)).alias("__text"))
     )
-    return groups.join(texts, ["__column", "__rank"], "left").withColumn("__value", F.coalesce("__text", "__key"))
+    return groups.df.join(texts, ["__column", "__rank"], "left").withColumn("__value", F.coalesce("__text", "__key"))
 
 
 def _id_lists(members: DataFrame, id_col: str, per_list: int) -> DataFrame:
@@ -110,7 +117,7 @@ def duplicates_report(
     if id_col is None:
         return report.select(*shown)
     require(df, [id_col])
-    ids = _id_lists(_members(df, values, groups, limit), id_col, ids_per_list)
+    ids = _id_lists(_members(df, values, groups.df, limit), id_col, ids_per_list)
     return report.join(ids, ["__column", "__rank"]).select(*shown, "part", "ids")
 
 
@@ -136,7 +143,7 @@ def duplicate_records(
     """
     checked = _checked_columns(df, columns, keys or [])
     values = _values(df, checked, case_insensitive)
-    members = _members(df, values, _top_groups(df, values, limit), limit)
+    members = _members(df, values, _top_groups(df, values, limit).df, limit)
     if ordered:
         by = [f"`{id_col}`"] if id_col else []
         members = members.orderBy("__column", "__rank", *by)
@@ -175,21 +182,13 @@ def key_columns(df: DataFrame, declared: list[str] | None = None, columns: list[
         for i, c in enumerate(open_cols)
         if seen[f"__n{i}"] == seen["__rows"] and seen[f"__d{i}"] >= 0.5 * seen["__rows"]
     ]
-    listing = df.sparkSession.createDataFrame(
-        [(c, c in known, c in likely) for c in names], "column_name string, declared boolean, likely boolean"
-    )
-    if not likely:
-        return listing.select("column_name", F.col("declared").alias("is_key"))
-    keyed = df.select(*[short_key(F.col(f"`{c}`").cast("string")).alias(c) for c in likely])
-    repeated = (
-        keyed.unpivot([], likely, "column_name", "__key")
-        .groupBy("column_name", "__key")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter("__n > 1")
-        .select("column_name")
-        .distinct()
-        .withColumn("__repeated", F.lit(True))
+    repeated: set[str] = set()
+    if likely:
+        keyed = df.select(*[short_key(F.col(f"`{c}`").cast("string")).alias(c) for c in likely])
+        counts = keyed.unpivot([], likely, "column_name", "__key").groupBy("column_name", "__key").count()
+        # One row per column at most comes back.
+        found = counts.filter(F.col("count") > 1).select("column_name").distinct().collect()
+        repeated = {row["column_name"] for row in found}
+    return df.sparkSession.createDataFrame(
+        [(c, c in known or (c in likely and c not in repeated)) for c in names], "column_name string, is_key boolean"
     )
-    joined = listing.join(repeated, "column_name", "left")
-    found = F.col("likely") & F.col("__repeated").isNull()
-    return joined.select("column_name", (F.col("declared") | found).alias("is_key"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
 from namewright.functions import differs
-from namewright.plans.joins import DEFAULT_LIMITS, Limits, fits_broadcast, lookup_join
+from namewright.plans.joins import DEFAULT_LIMITS, Limits, fits_broadcast, lookup_join, settled_fits
 from namewright.plans.shared import settle
 from namewright.sources.tables import require
 
@@ -46,12 +46,14 @@ def unify_ids(
     flag_col: str,
     strict: list[str] | None = None,
     include_unmapped: bool = False,
+    changed_col: str | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Within a group give flagged rows the smallest id and keep the id they had in ``deprecated_col``.
 
     Null group values are a group of their own, except in the ``strict`` columns (default: the first), where a null
-    joins nothing. Unflagged rows keep their ids unless ``include_unmapped``.
+    joins nothing. Unflagged rows keep their ids unless ``include_unmapped``. ``changed_col`` names an extra column that
+    tells whether this call changed the row.
 
     The minimum is aggregated map-side and only groups with something to change are kept, so no group ever has to meet
     in one task, as it would in a window. Rows then look their group up: by broadcast if those groups are few;
@@ -73,24 +75,22 @@ def unify_ids(
         groups.filter(F.col("__flagged") & F.col("__lowest").isNotNull() & mixed).select(*group, "__lowest"), "groups"
     )
 
-    small = fits_broadcast(changing, limits)
+    small = settled_fits(changing, limits)
 
     def rewrite(part: DataFrame) -> DataFrame:
-        joined = lookup_join(part, changing, group, null_safe=True, small=small, limits=limits)
+        joined = lookup_join(part, changing.df, group, null_safe=True, small=small, limits=limits)
         changed = flagged & F.col("__lowest").isNotNull() & differs(F.col(id_col), F.col("__lowest"))
         new_id = F.when(changed, F.col("__lowest")).otherwise(F.col(id_col))
         deprecated = F.when(changed, F.col(id_col)).otherwise(F.col(deprecated_col))
-        return joined.withColumns({id_col: new_id, deprecated_col: deprecated}).select(*rows.columns)
+        told = {changed_col: changed} if changed_col else {}
+        return joined.withColumns({id_col: new_id, deprecated_col: deprecated, **told}).select(*rows.columns, *told)
 
     if include_unmapped or small:
         return rewrite(rows)
-    return rewrite(rows.filter(flagged)).unionByName(rows.filter(~flagged))
-
-
-def changed_rows(before: DataFrame, after: DataFrame, deprecated_col: str) -> int:
-    """How many more rows carry a deprecated id than before."""
-    had, has = (df.agg(F.count(deprecated_col)).first()[0] for df in (before, after))
-    return has - had
+    untouched = rows.filter(~flagged)
+    if changed_col:
+        untouched = untouched.withColumn(changed_col, F.lit(False))
+    return rewrite(rows.filter(flagged)).unionByName(untouched)
 
 
 def assign_ids(rows: DataFrame, order_by: list[str], col: str = "id") -> DataFrame:
@@ -110,7 +110,7 @@ def assign_ids(rows: DataFrame, order_by: list[str], col: str = "id") -> DataFra
         .sortWithinPartitions(*keys)
         .withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()}),
         "placed",
-    )
+    ).df
     # One row per partition from here on: the running sum and the broadcast are bounded by the partition count.
     sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     earlier = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)

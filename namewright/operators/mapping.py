@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namewright.functions import norm_key, not_blank
-from namewright.plans.joins import DEFAULT_LIMITS, Limits, fits_broadcast, lookup_join
+from namewright.plans.joins import DEFAULT_LIMITS, Limits, fits_broadcast, lookup_join, settled_fits
 from namewright.plans.shared import settle
 from namewright.sources.tables import require
 
@@ -89,23 +91,24 @@ def resolve_chains(mapping: DataFrame, max_hops: int = 32, limits: Limits = DEFA
     Each round looks the targets up in the table itself and so doubles the hops covered. Raises when a chain is longer
     than ``max_hops`` or runs in a circle. A name mapped to itself is an end.
     """
-    table = settle(_unique_targets(mapping).filter(~F.col("original").eqNullSafe(F.col("normalized"))), "chains")
-    identities = mapping.filter(F.col("original") == F.col("normalized")).select("original", "normalized").distinct()
+    links = _unique_targets(mapping).filter(~F.col("original").eqNullSafe(F.col("normalized")))
+    ends = mapping.filter(F.col("original") == F.col("normalized")).select("original", "normalized").distinct()
+    table = settle(links, "chains")
     covered = 1
     while True:
-        step = table.select(F.col("original").alias("normalized"), F.col("normalized").alias("__next"))
-        looked = lookup_join(table, step, ["normalized"], limits=limits)
-        onward = settle(
-            looked.select(
-                "original",
-                F.coalesce("__next", "normalized").alias("normalized"),
-                F.col("__next").isNotNull().alias("__moved"),
-            ),
-            "chains",
+        step = table.df.select(F.col("original").alias("normalized"), F.col("normalized").alias("__next"))
+        looked = lookup_join(table.df, step, ["normalized"], small=settled_fits(table, limits), limits=limits)
+        onward = looked.select(
+            "original",
+            F.coalesce("__next", "normalized").alias("normalized"),
+            F.col("__next").isNotNull().alias("__moved"),
         )
-        if onward.filter("__moved").isEmpty():
-            return onward.drop("__moved").unionByName(identities)
+        moved = F.count_if("__moved")
+        circles = F.count_if(F.col("original") == F.col("normalized"))
+        settled = settle(onward, "chains", moved=moved, circles=circles)
+        table = replace(settled, df=settled.df.drop("__moved"))
+        if table.measures["moved"] == 0:
+            return table.df.unionByName(ends)
         covered *= 2
-        if covered >= 2 * max_hops or not onward.filter("original = normalized").isEmpty():
+        if covered >= 2 * max_hops or table.measures["circles"] > 0:
             raise ValueError(f"mapping has a circle or a chain of more than {max_hops} hops")
-        table = onward.drop("__moved")

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from namewright.plans.joins import DEFAULT_LIMITS, Limits, fits_broadcast, lookup_join
+from namewright.plans.shared import settle
 from namewright.sources.tables import require
 
 # Lengths of a throughput bucket.
@@ -143,7 +144,8 @@ def sync_lag(
 ) -> DataFrame:
     """Average, 95th percentile (interpolated, exact), maximum and number of lags, in seconds."""
     pairs = lag_pairs(changes, indexed, key, changed_col, indexed_col, window_minutes, until)
-    counts = pairs.groupBy("lag_seconds").agg(F.count(F.lit(1)).alias("n"))
+    # One row per distinct second of lag; settled, so that the join runs once for all figures.
+    counts = settle(pairs.groupBy("lag_seconds").agg(F.count(F.lit(1)).alias("n")), "lags").df
     total = F.sum("n")
     return counts.agg(
         (F.sum(F.col("lag_seconds") * F.col("n")) / total).alias("avg_lag_seconds"),

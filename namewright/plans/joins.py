@@ -15,9 +15,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from namewright.plans.shared import settle
+from namewright.plans.shared import Settled, row_width, settle
 
 
 @dataclass(frozen=True)
@@ -34,24 +33,18 @@ class Limits:
 DEFAULT_LIMITS = Limits()
 
 
-def _width(df: DataFrame) -> Column:
-    """Bytes of a row, roughly: text by its length, nested values by their JSON, eight for anything else."""
-    total: Column = F.lit(0).cast("bigint")
-    for field in df.schema.fields:
-        col = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, StringType):
-            total = total + F.coalesce(F.octet_length(col), F.lit(0)) + 8
-        elif field.dataType.typeName() in ("array", "map", "struct"):
-            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
-        else:
-            total = total + 8
-    return total
+def fits(rows: int, size: int, limits: Limits = DEFAULT_LIMITS) -> bool:
+    return rows <= limits.broadcast_rows and size <= limits.broadcast_bytes
+
+
+def settled_fits(table: Settled, limits: Limits = DEFAULT_LIMITS) -> bool:
+    """Whether a settled table may be broadcast; it was measured when it was written."""
+    return fits(table.measures["rows"], table.measures["bytes"], limits)
 
 
 def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
     """Count the rows and bytes of a static DataFrame and say whether it may be broadcast."""
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_width(df)), F.lit(0))).first()
-    return rows <= limits.broadcast_rows and size <= limits.broadcast_bytes
+    return fits(*df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_width(df)), F.lit(0))).first(), limits)
 
 
 def hot_hashes(rows: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS) -> list[int]:
@@ -103,9 +96,9 @@ def lookup_join(
 def few_keys(df: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS) -> bool:
     """Whether the distinct keys are likely to fit a broadcast, from one pass without a shuffle."""
     distinct, widest = df.select(*on).agg(
-        F.approx_count_distinct(F.xxhash64(*on)), F.coalesce(F.max(_width(df.select(*on))), F.lit(0))
+        F.approx_count_distinct(F.xxhash64(*on)), F.coalesce(F.max(row_width(df.select(*on))), F.lit(0))
     ).first()
-    return distinct <= limits.broadcast_rows and distinct * widest <= limits.broadcast_bytes
+    return fits(distinct, distinct * widest, limits)
 
 
 def drop_known(
@@ -120,8 +113,9 @@ def drop_known(
     present = existing.select(*on).na.drop("any")
     if few_keys(incoming, on, limits):
         wanted = settle(incoming.select(*on).na.drop("any").distinct(), "keys")
-        if fits_broadcast(wanted, limits):
+        if settled_fits(wanted, limits):
             # A subset of `wanted`, so it fits as well.
-            known = settle(_join(present, F.broadcast(wanted), on, "left_semi", null_safe=False).distinct(), "keys")
+            found = _join(present, F.broadcast(wanted.df), on, "left_semi", null_safe=False).distinct()
+            known = settle(found, "keys").df
             return lookup_join(incoming, known, on, "left_anti", small=True, limits=limits)
     return lookup_join(incoming, present.distinct(), on, "left_anti", small=False, limits=limits)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namewright.operators.duplicates import duplicates_report
-from namewright.operators.identity import assign_ids, changed_rows, enrich, ensure_columns, unify_ids
+from namewright.operators.identity import assign_ids, enrich, ensure_columns, unify_ids
 from namewright.operators.mapping import apply_mapping, upsert
 from namewright.sources.mapping_csv import load_mapping, split_rejects
 from namewright.sources.tables import load_table, require, table_exists, write_table
@@ -65,7 +65,7 @@ def _load_mapping(spark: SparkSession, base: str, names: EntityTables, csv: str
     report.details["rejected"] = rejected.count()
     target = load_table(spark, base, names.mapping) if table_exists(spark, base, names.mapping) else None
     updates = accepted.select("original", "normalized", "_ord")
-    report.rows = write_table(upsert(target, updates, ["original"], "_ord"), base, names.mapping)
+    report.rows = write_table(upsert(target, updates, ["original"], "_ord"), base, names.mapping)["rows"]
 
 
 def _apply(spark: SparkSession, base: str, names: EntityTables, as_of: Column, report: StepReport) -> None:
@@ -75,10 +75,10 @@ def _apply(spark: SparkSession, base: str, names: EntityTables, as_of: Column, r
     edges = [(table, col, load_table(spark, base, table)) for table, col in names.edges]
     for table, col, edge in edges:
         require(edge, [col], table)
-    report.rows = write_table(mapped, base, names.output)
+    report.rows = write_table(mapped, base, names.output)["rows"]
     for table, col, edge in edges:
         output = f"deduplicated_{table}"
-        report.details[output] = write_table(apply_mapping(edge, mapping, col, as_of), base, output)
+        report.details[output] = write_table(apply_mapping(edge, mapping, col, as_of), base, output)["rows"]
 
 
 def _add_columns(spark: SparkSession, base: str, names: EntityTables, report: StepReport) -> None:
@@ -94,23 +94,26 @@ def _add_columns(spark: SparkSession, base: str, names: EntityTables, report: St
         report.details["skipped"].append(f"{names.lookup} does not exist")
     rows = assign_ids(rows, [names.id_col, f"original_{names.name_col}"])
     report.details["skipped" if had_ids else "executed"].append("id")
-    report.rows = write_table(rows, base, names.output)
+    report.rows = write_table(rows, base, names.output)["rows"]
 
 
 def _update_ids(spark: SparkSession, base: str, names: EntityTables, report: StepReport) -> None:
     before = load_table(spark, base, names.output)
     require(before, ["id"], names.output)
     group = [names.name_col, names.lookup_col]
-    after = unify_ids(before, group, names.id_col, names.deprecated_col, "was_deduplicated")
-    report.rows = write_table(after, base, names.output)
-    report.details["updated"] = changed_rows(before, load_table(spark, base, names.output), names.deprecated_col)
+    after = unify_ids(
+        before, group, names.id_col, names.deprecated_col, "was_deduplicated", changed_col="__changed"
+    )
+    found = write_table(after, base, names.output, hidden=("__changed",), updated=F.count_if("__changed"))
+    report.rows = found["rows"]
+    report.details["updated"] = found["updated"]
 
 
 def _check(spark: SparkSession, base: str, names: EntityTables, report: StepReport) -> None:
     rows = load_table(spark, base, names.output)
     keys = ["id"] if "id" in rows.columns else []
     found = duplicates_report(rows, keys=keys, id_col=keys[0] if keys else None)
-    report.rows = write_table(found, base, f"{names.output}_duplicates")
+    report.rows = write_table(found, base, f"{names.output}_duplicates")["rows"]
 
 
 def run_log(spark: SparkSession, base: str) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _local_dirs: dict[str, str] = {}
 
@@ -28,7 +31,37 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/namewright/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def row_width(df: DataFrame) -> Column:
+    """Bytes of a row, roughly: text by its length, nested values by their JSON, eight for anything else."""
+    total: Column = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        col = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, StringType):
+            total = total + F.coalesce(F.octet_length(col), F.lit(0)) + 8
+        elif field.dataType.typeName() in ("array", "map", "struct"):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
+@dataclass(frozen=True)
+class Settled:
+    """A written table and what was measured on the way: ``rows``, ``bytes`` and whatever else was asked for."""
+
+    df: DataFrame
+    measures: dict[str, int]
+
+
+def write_measured(df: DataFrame, path: str, hidden: tuple[str, ...] = (), **measures: Column) -> dict[str, int]:
+    """Write a new Parquet folder and measure its rows in the same pass; ``hidden`` columns are measured only."""
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in measures.items()])
+    observed.drop(*hidden).write.parquet(path)
+    return seen.get
+
+
+def settle(df: DataFrame, label: str, **measures: Column) -> Settled:
     """Write once to shared storage and go on from the written table.
 
     Cuts lineage for good: what was computed survives lost executors, and every later pass sees the same rows. Being
@@ -36,5 +69,6 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    size = F.coalesce(F.sum(row_width(df)), F.lit(0))
+    found = write_measured(df, path, bytes=size, **measures)
+    return Settled(spark.read.schema(df.schema).parquet(path), found)

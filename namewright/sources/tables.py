@@ -5,11 +5,14 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from namewright.plans.shared import write_measured
+
 TABLE_LOG = "table_log"
 TABLE_LOG_FIELDS = "name string, version bigint, path string, rows bigint, written_at timestamp"
 
@@ -74,29 +77,29 @@ def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return _load(spark, base, name, entry["path"] if entry else None)
 
 
-def write_table(df: DataFrame, base: str, name: str) -> int:
-    """Replace a table and return its row count.
+def write_table(
+    df: DataFrame, base: str, name: str, hidden: tuple[str, ...] = (), **measures: Column
+) -> dict[str, int]:
+    """Replace a table and return its row count as ``rows``, with any other measures asked for.
 
     The rows go to a version folder of their own and become visible by one appended log entry, so readers see the old
     table or the new one, never a mixture, and an input can be rewritten from itself. One writer at a time. Rows are
-    counted while they are written.
+    measured while they are written; ``hidden`` columns are measured but not kept.
     """
     spark = df.sparkSession
     entry = _latest(spark, base, name)
     version = (entry["version"] if entry else 0) + 1
     path = f"{base}/{name}/version-{version:06d}-{uuid.uuid4().hex[:8]}"
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    rows = seen.get["rows"]
+    found = write_measured(df, path, hidden, **measures)
     record = spark.range(1).select(
         F.lit(name).alias("name"),
         F.lit(version).cast("bigint").alias("version"),
         F.lit(path).alias("path"),
-        F.lit(rows).cast("bigint").alias("rows"),
+        F.lit(found["rows"]).cast("bigint").alias("rows"),
         F.current_timestamp().alias("written_at"),
     )
     record.write.mode("append").json(f"{base}/{TABLE_LOG}")
-    return rows
+    return found
 
 
 def _without_scheme(path: str) -> str:
@@ -117,6 +120,19 @@ def table_names(spark: SparkSession, base: str) -> list[str]:
     return [row["name"] for row in files.select(name.alias("name")).distinct().orderBy("name").collect()]
 
 
+def _counts(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows of each table from one job over all of them; should that fail, table by table with -1 for a failure."""
+    if not tables:
+        return {}
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows") for n, df in tables.items()]
+    try:
+        return {row["name"]: row["rows"] for row in reduce(DataFrame.unionByName, parts).collect()}
+    except Exception:
+        if len(tables) == 1:
+            return dict.fromkeys(tables, -1)
+        return {name: n for single in tables.items() for name, n in _counts(dict([single])).items()}
+
+
 def list_tables(spark: SparkSession, base: str) -> DataFrame:
     """Tables in name order with their row counts, -1 where a count fails; one failure leaves the others alone.
 
@@ -124,13 +140,15 @@ def list_tables(spark: SparkSession, base: str) -> DataFrame:
     """
     current = table_log(spark, base).groupBy("name").agg(F.max_by("path", "version").alias("path"))
     versions = {row["name"]: row["path"] for row in current.collect()}
-    counts = []
-    for name in table_names(spark, base):
+    names = table_names(spark, base)
+    readable = {}
+    for name in names:
         try:
-            counts.append((name, _load(spark, base, name, versions.get(name)).count()))
+            readable[name] = _load(spark, base, name, versions.get(name))
         except Exception:
-            counts.append((name, -1))
-    return spark.createDataFrame(counts, "name string, rows bigint").orderBy("name")
+            continue
+    counts = {**dict.fromkeys(names, -1), **_counts(readable)}
+    return spark.createDataFrame(sorted(counts.items()), "name string, rows bigint").orderBy("name")
 
 
 def describe_columns(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from helpers import SHUFFLED, TIGHT, plan, rows, same
 from pyspark.sql import functions as F
 
-from namewright.operators.identity import assign_ids, audit_trail, changed_rows, enrich, ensure_columns, unify_ids
+from namewright.operators.identity import assign_ids, audit_trail, enrich, ensure_columns, unify_ids
 from namewright.plans.joins import DEFAULT_LIMITS
 
 ALL_LIMITS = pytest.mark.parametrize("limits", [DEFAULT_LIMITS, SHUFFLED, TIGHT], ids=["small", "shuffled", "hot"])
@@ -48,12 +48,17 @@ def test_unify_ids(spark, limits):
     }
 
 
-def test_unify_is_idempotent_and_counts_changes(spark):
-    before = spark.createDataFrame(ROWS, SCHEMA)
-    once = _unify(before)
+def test_unify_is_idempotent(spark):
+    once = _unify(spark.createDataFrame(ROWS, SCHEMA))
     assert same(once, _unify(once))
-    assert changed_rows(before, once, "uuid_old") == 2
-    assert changed_rows(once, _unify(once), "uuid_old") == 0
+
+
+@ALL_LIMITS
+def test_changed_rows_can_be_told(spark, limits):
+    told = _unify(spark.createDataFrame(ROWS, SCHEMA), changed_col="changed", limits=limits)
+    assert rows(told.filter("changed").select("row")) == [(0,), (3,), (4,), (9,)]
+    assert told.filter("changed IS NULL").isEmpty()
+    assert _unify(told.drop("changed"), changed_col="changed", limits=limits).filter("changed").isEmpty()
 
 
 def test_unmapped_rows_can_be_included(spark):

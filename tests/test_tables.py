@@ -29,9 +29,9 @@ from namewright.sources.tables import (
 
 
 def test_replacing_a_table_from_itself(spark, folder):
-    assert write_table(spark.range(5), folder, "t") == 5
+    assert write_table(spark.range(5), folder, "t") == {"rows": 5}
     before = load_table(spark, folder, "t")
-    assert write_table(before.filter("id < 2"), folder, "t") == 2
+    assert write_table(before.filter("id < 2"), folder, "t", top=F.max("id")) == {"rows": 2, "top": 1}
     assert load_table(spark, folder, "t").count() == 2
     # Whoever opened the old version still reads it.
     assert before.count() == 5
@@ -81,9 +81,9 @@ def test_require(spark):
 
 
 def test_settle_uses_the_named_folder(spark):
-    settled = shared.settle(spark.range(10), "probe")
-    assert settled.count() == 10
-    assert all(f"{shared.shared_dir(spark)}/namewright/" in f for f in settled.inputFiles())
+    settled = shared.settle(spark.range(10), "probe", top=F.max("id"))
+    assert settled.df.count() == 10 and settled.measures == {"rows": 10, "bytes": 80, "top": 9}
+    assert all(f"{shared.shared_dir(spark)}/namewright/" in f for f in settled.df.inputFiles())
 
 
 def test_shared_dir_is_never_local_on_a_cluster(monkeypatch):
