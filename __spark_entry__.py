@@ -45,6 +45,10 @@ def mapping_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping_csv.validate_mapping(_mapping_rows(spark, sf_dir))
 
 
+def mapping_split_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mapping_csv.split_concatenated(st.joined_pairs(st.table(spark, sf_dir, "part")))
+
+
 def mapping_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = st.table(spark, sf_dir, "part")
     name = F.concat_ws(" ", "p_name", "p_type")
@@ -132,6 +136,25 @@ def canonical_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.load_table(spark, base, "deduplicated_institutions")
 
 
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the run log says after two modes."""
+    part = st.table(spark, sf_dir, "part")
+    base = fresh_path(spark, "tables")
+    tables.write_table(st.institution(part), base, "institution")
+    tables.write_table(st.institution_mapping(part), base, "institution_mapping")
+    run.run_mode(spark, base, "load-mapping")
+    run.run_mode(spark, base, "apply-deduplication", as_of=st.as_of())
+    return run.run_log(spark, base).select("component", "success", "rows")
+
+
+def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table rewritten from itself."""
+    base = fresh_path(spark, "tables")
+    tables.write_table(st.table(spark, sf_dir, "orders"), base, "orders")
+    tables.write_table(tables.load_table(spark, base, "orders").filter("o_orderkey % 2 = 0"), base, "orders")
+    return tables.load_table(spark, base, "orders")
+
+
 # Duplicates and keys --------------------------------------------------------------------------------------------------
 
 
@@ -283,6 +306,17 @@ def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.flatten_json(docs, "_source", "institution string, p_partkey bigint, p_type string, p_size int")
 
 
+def reindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index loaded twice: first all customers, then some of them with other content."""
+    customer = st.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    changed = customer.filter("c_custkey % 4 = 0").withColumn("c_mktsegment", F.lit("changed"))
+    base = fresh_path(spark, "tables")
+    for rows in (customer, changed):
+        documents.reindex(spark, base, "customers", documents.index_documents(rows, "c_custkey"))
+    index = tables.load_table(spark, base, "customers")
+    return documents.flatten_json(index, "_source", "c_custkey bigint, c_mktsegment string")
+
+
 def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.list_tables(spark, sf_dir)
 
@@ -331,6 +365,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         mapping_load,
         mapping_rejects,
         mapping_validate,
+        mapping_split_pairs,
         mapping_upsert,
         mapping_chains,
         canonicalise,
@@ -343,6 +378,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         assign_ids,
         audit_trail,
         canonical_run,
+        run_report,
+        replace_table,
         dup_documents,
         dup_report,
         dup_report_keys,
@@ -364,6 +401,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         component_status,
         flatten_props,
         index_documents,
+        reindex,
         list_tables,
         stream_canonicalise,
         stream_insert_missing,
@@ -395,7 +433,7 @@ canonical AS (
            CASE WHEN m.normalized IS NOT NULL THEN TIMESTAMP '2024-06-01 00:00:00' END AS deduplication_timestamp,
            i.uuid_institution, i.english_name, i.parent_institution
     FROM institution i LEFT JOIN institution_mapping m ON i.institution = m.original
-    WHERE i.institution IS NOT NULL AND length(trim(i.institution)) > 0),
+    WHERE trim(i.institution, ' ') <> ''),
 enriched AS (
     SELECT c.*, ic.uuid_country, CAST(NULL AS VARCHAR) AS uuid_deprecated
     FROM canonical c LEFT JOIN institution_country ic ON c.uuid_institution = ic.uuid_institution),
@@ -406,7 +444,7 @@ lowest AS (
 updates AS (
     SELECT n.id, n.uuid_institution AS old_uuid, l.lowest_uuid
     FROM numbered n JOIN lowest l ON n.institution = l.institution
-     AND ((n.uuid_country IS NULL AND l.uuid_country IS NULL) OR n.uuid_country = l.uuid_country)
+     AND n.uuid_country IS NOT DISTINCT FROM l.uuid_country
     WHERE n.was_deduplicated AND n.uuid_institution IS DISTINCT FROM l.lowest_uuid),
 unified AS (
     SELECT n.institution, n.original_institution, n.was_deduplicated, n.deduplication_timestamp,
@@ -427,7 +465,7 @@ lowest AS (
 updates AS (
     SELECT r.p_partkey, r.uuid_institution AS old_uuid, l.lowest_uuid
     FROM rows_ r JOIN lowest l ON r.institution = l.institution
-     AND ((r.uuid_country IS NULL AND l.uuid_country IS NULL) OR r.uuid_country = l.uuid_country)
+     AND r.uuid_country IS NOT DISTINCT FROM l.uuid_country
     WHERE {which} AND r.uuid_institution IS DISTINCT FROM l.lowest_uuid)
 SELECT r.institution, r.uuid_country, coalesce(u.lowest_uuid, r.uuid_institution) AS uuid_institution,
        u.old_uuid AS uuid_deprecated, r.was_deduplicated, r.p_partkey
@@ -479,6 +517,20 @@ def oracle_sql() -> dict[str, str]:
         "WHERE normalized IS NULL",
         "mapping_validate": f"{_FILE} SELECT count(*) AS found_rows, "
         "count(*) FILTER (WHERE normalized IS NULL) AS rejected_rows FROM records",
+        "mapping_split_pairs": r"""
+            WITH pairs AS (
+                SELECT p_partkey % 3 = 0 AS lost, p_brand, p_name || ' ' || CAST(p_partkey AS VARCHAR) || ' old' AS name
+                FROM part),
+            lines AS (
+                SELECT lost, CASE WHEN lost THEN name || p_brand ELSE name END AS original,
+                       CASE WHEN NOT lost THEN p_brand END AS normalized
+                FROM pairs)
+            SELECT CASE WHEN lost THEN regexp_extract(original, '^(.*?\p{Ll})(\p{Lu}.*)$', 1) ELSE original END
+                       AS original,
+                   CASE WHEN lost THEN regexp_extract(original, '^(.*?\p{Ll})(\p{Lu}.*)$', 2) ELSE normalized END
+                       AS normalized,
+                   lost AS auto_fixed
+            FROM lines""",
         "mapping_upsert": """
             WITH target AS (
                 SELECT DISTINCT p_name || ' ' || p_type AS original, 'old' AS normalized FROM part
@@ -506,7 +558,7 @@ def oracle_sql() -> dict[str, str]:
                 SELECT i.*, coalesce(m.normalized, f.normalized) AS target
                 FROM institution i LEFT JOIN institution_mapping m ON i.institution = m.original
                 LEFT JOIN folded f ON trim(lower(i.institution)) = f.k
-                WHERE length(trim(i.institution)) > 0)
+                WHERE trim(i.institution, ' ') <> '')
             SELECT coalesce(target, institution) AS institution, institution AS original_institution,
                    target IS NOT NULL AS was_deduplicated,
                    CASE WHEN target IS NOT NULL THEN TIMESTAMP '2024-06-01 00:00:00' END AS deduplication_timestamp,
@@ -537,6 +589,15 @@ def oracle_sql() -> dict[str, str]:
                    deduplication_timestamp AS changed_at
             FROM unified WHERE was_deduplicated OR uuid_deprecated IS NOT NULL""",
         "canonical_run": f"WITH {_NAMES} SELECT * FROM unified",
+        "run_report": f"""
+            WITH {_NAMES}
+            SELECT 'load-mapping' AS component, true AS success, count(*) AS rows FROM institution_mapping
+            UNION ALL SELECT 'apply-deduplication', true, count(*) FROM canonical""",
+        "replace_table": "SELECT * FROM orders WHERE o_orderkey % 2 = 0",
+        "reindex": """
+            SELECT CAST(c_custkey AS VARCHAR) AS _id, c_custkey,
+                   CASE WHEN c_custkey % 4 = 0 THEN 'changed' ELSE c_mktsegment END AS c_mktsegment
+            FROM customer""",
         "dup_documents": f"""{doc_groups}
             SELECT g."column", g.value, g.count, 0 AS part,
                    (SELECT string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) FROM documents

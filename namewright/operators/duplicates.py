@@ -163,6 +163,10 @@ def is_unique(df: DataFrame, cols: list[str]) -> bool:
     return counted.filter((F.col("__n") > 1) | some_null).isEmpty()
 
 
+def _distinct(col: Column) -> Column:
+    return F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(col)))
+
+
 def key_columns(df: DataFrame, declared: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
     """(column_name, is_key) for every column: declared keys first, else found by counting.
 
@@ -175,7 +179,7 @@ def key_columns(df: DataFrame, declared: list[str] | None = None, columns: list[
     open_cols = [c for c in names if c not in known]
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(open_cols):
-        aggs += [F.count(f"`{c}`").alias(f"__n{i}"), F.approx_count_distinct(f"`{c}`", 0.02).alias(f"__d{i}")]
+        aggs += [F.count(f"`{c}`").alias(f"__n{i}"), _distinct(F.col(f"`{c}`")).alias(f"__d{i}")]
     seen = df.agg(*aggs).first()
     likely = [
         c

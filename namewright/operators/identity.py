@@ -75,17 +75,15 @@ def unify_ids(
         groups.filter(F.col("__flagged") & F.col("__lowest").isNotNull() & mixed).select(*group, "__lowest"), "groups"
     )
 
-    small = settled_fits(changing, limits)
-
     def rewrite(part: DataFrame) -> DataFrame:
-        joined = lookup_join(part, changing.df, group, null_safe=True, small=small, limits=limits)
+        joined = lookup_join(part, changing, group, null_safe=True, limits=limits)
         changed = flagged & F.col("__lowest").isNotNull() & differs(F.col(id_col), F.col("__lowest"))
         new_id = F.when(changed, F.col("__lowest")).otherwise(F.col(id_col))
         deprecated = F.when(changed, F.col(id_col)).otherwise(F.col(deprecated_col))
         told = {changed_col: changed} if changed_col else {}
         return joined.withColumns({id_col: new_id, deprecated_col: deprecated, **told}).select(*rows.columns, *told)
 
-    if include_unmapped or small:
+    if include_unmapped or settled_fits(changing, limits):
         return rewrite(rows)
     untouched = rows.filter(~flagged)
     if changed_col:

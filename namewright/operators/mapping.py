@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namewright.functions import norm_key, not_blank
-from namewright.plans.joins import DEFAULT_LIMITS, Limits, fits_broadcast, lookup_join, settled_fits
+from namewright.plans.joins import DEFAULT_LIMITS, Limits, fits_broadcast, lookup_join
 from namewright.plans.shared import settle
 from namewright.sources.tables import require
 
@@ -97,7 +97,7 @@ def resolve_chains(mapping: DataFrame, max_hops: int = 32, limits: Limits = DEFA
     covered = 1
     while True:
         step = table.df.select(F.col("original").alias("normalized"), F.col("normalized").alias("__next"))
-        looked = lookup_join(table.df, step, ["normalized"], small=settled_fits(table, limits), limits=limits)
+        looked = lookup_join(table.df, replace(table, df=step), ["normalized"], limits=limits)
         onward = looked.select(
             "original",
             F.coalesce("__next", "normalized").alias("normalized"),

@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from namewright.sources.tables import require
+from namewright.operators.mapping import upsert
+from namewright.sources.tables import load_table, require, table_exists, write_table
 
 
 def land_json(spark: SparkSession, path: str) -> DataFrame:
@@ -49,6 +50,12 @@ def index_documents(df: DataFrame, id_col: str, newest: str | None = None) -> Da
     return docs.withColumn("__rank", F.row_number().over(best)).filter("__rank = 1").select("_id", "_source")
 
 
+def reindex(spark: SparkSession, base: str, name: str, docs: DataFrame) -> dict[str, int]:
+    """Load documents into a stored index: those with a known ``_id`` replace the old ones, all others stay."""
+    stored = load_table(spark, base, name) if table_exists(spark, base, name) else None
+    return write_table(upsert(stored, docs.withColumn("__ord", F.lit(0)), ["_id"], "__ord"), base, name)
+
+
 def write_documents(docs: DataFrame, path: str) -> None:
     """Write documents as JSON lines, a file per task."""
     docs.write.mode("overwrite").json(path)

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from namewright.plans.shared import write_measured
 
@@ -31,9 +32,10 @@ def require(df: DataFrame, cols: Iterable[str], what: str = "table") -> None:
         raise ValueError(f"{what} lacks column(s): {', '.join(missing)}")
 
 
-def _read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as exc:
         if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -63,9 +65,11 @@ def table_exists(spark: SparkSession, base: str, name: str) -> bool:
     return True
 
 
-def _load(spark: SparkSession, base: str, name: str, version_path: str | None) -> DataFrame:
+def _load(
+    spark: SparkSession, base: str, name: str, version_path: str | None, schema: StructType | None = None
+) -> DataFrame:
     for path in [version_path] if version_path else [f"{base}/{name}.parquet", f"{base}/{name}"]:
-        found = _read_parquet(spark, path)
+        found = _read_parquet(spark, path, schema)
         if found is not None:
             return found
     raise MissingTable(f"table {name} does not exist under {base}")
@@ -136,7 +140,7 @@ def _counts(tables: dict[str, DataFrame]) -> dict[str, int]:
 def list_tables(spark: SparkSession, base: str) -> DataFrame:
     """Tables in name order with their row counts, -1 where a count fails; one failure leaves the others alone.
 
-    Parquet counts come from the file footers.
+    Nothing but file footers is read: the counts need no columns, so no schema either.
     """
     current = table_log(spark, base).groupBy("name").agg(F.max_by("path", "version").alias("path"))
     versions = {row["name"]: row["path"] for row in current.collect()}
@@ -144,7 +148,7 @@ def list_tables(spark: SparkSession, base: str) -> DataFrame:
     readable = {}
     for name in names:
         try:
-            readable[name] = _load(spark, base, name, versions.get(name))
+            readable[name] = _load(spark, base, name, versions.get(name), StructType([]))
         except Exception:
             continue
     counts = {**dict.fromkeys(names, -1), **_counts(readable)}

@@ -81,6 +81,17 @@ def mapping_lines(part: DataFrame) -> DataFrame:
     return part.select(line.alias("value"))
 
 
+def joined_pairs(part: DataFrame) -> DataFrame:
+    """Corrections of which every third lost the separator between its two names."""
+    key = F.col("p_partkey")
+    name = F.concat_ws(" ", "p_name", key.cast("string"), F.lit("old"))
+    lost = key % 3 == 0
+    return part.select(
+        F.when(lost, F.concat(name, "p_brand")).otherwise(name).alias("original"),
+        F.when(~lost, F.col("p_brand")).alias("normalized"),
+    )
+
+
 def labelled_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Orders as a relation table that repeats its customer's segment, in several spellings."""
     key = F.col("o_orderkey")
