@@ -103,16 +103,17 @@ def preview_new_rows(
     )
 
 
-def _one_each(rows: DataFrame, by: list[str], order: Column) -> DataFrame:
+def _one_each(rows: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key. One row per key and task is left before the shuffle, so a hot key is no burden."""
-    first = W.partitionBy(*by).orderBy(order)
+    first = W.partitionBy(*by).orderBy(*order)
     return rows.withColumn("__rank", F.row_number().over(first)).filter("__rank = 1").drop("__rank")
 
 
 def rows_to_insert(
     target: DataFrame, incoming: DataFrame, keys: list[str], limits: Limits = DEFAULT_LIMITS
 ) -> DataFrame:
-    """One incoming row for every key the target lacks; of those that share the key the smallest as JSON text.
+    """One incoming row for every key the target lacks; of those that share the key the smallest, column by column in
+    the order of their names.
 
     A row with a null key is known by its whole content instead, so inserting the same batch twice adds nothing. The
     target is read in its key columns only, but for such rows.
@@ -120,20 +121,22 @@ def rows_to_insert(
     require(target, [*keys, *incoming.columns], "target")
     require(incoming, keys, "incoming")
     columns = incoming.columns
-    content = F.to_json(F.struct(*[F.col(f"`{c}`").cast(target.schema[c].dataType) for c in sorted(columns)]))
+    ordered = [F.col(f"`{c}`") for c in sorted(columns)]
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     names = {f"__n{i}": norm_key(F.col(k)) for i, k in enumerate(keys)}
 
-    keyed = _one_each(incoming.filter(~no_key).withColumns(names), list(names), content)
+    keyed = incoming.filter(~no_key).withColumns(names)
     had = target.filter(~no_key).select(*[col.alias(name) for name, col in names.items()])
-    new = drop_known(keyed, had, list(names), limits).select(*columns)
+    new = _one_each(drop_known(keyed, had, list(names), limits), list(names), ordered).select(*columns)
 
     keyless = incoming.filter(no_key)
     if keyless.isEmpty():
         return new
+    types = {f.name: f.dataType for f in target.schema.fields}
+    content = F.to_json(F.struct(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in sorted(columns)]))
     digest = F.sha2(content, 256).alias("__row")
     had_rows = target.filter(no_key).select(digest)
-    new_rows = drop_known(_one_each(keyless.select("*", digest), ["__row"], content), had_rows, ["__row"], limits)
+    new_rows = _one_each(drop_known(keyless.select("*", digest), had_rows, ["__row"], limits), ["__row"], ordered)
     return new.unionByName(new_rows.select(*columns))
 
 
