@@ -68,12 +68,14 @@ def throughput_stream(
     checkpoint: str,
     granularity: str = "minute",
     watermark: str = "10 minutes",
+    final_only: bool = False,
     trigger: Trigger = ONCE,
 ) -> StreamingQuery:
     """Keep bucket counts up to date in ``out``; read them with latest_buckets().
 
     State holds the buckets within the watermark only; events later than that are dropped. Each batch writes the
-    buckets it changed to a folder of its own, so a repeated batch replaces what it wrote before.
+    buckets it changed to a folder of its own, so a repeated batch replaces what it wrote before. With ``final_only``
+    a bucket is written once, to ``out`` as plain Parquet, when the watermark has passed it.
     """
     # A watermark needs a time zone aware column.
     timed = events
@@ -81,6 +83,10 @@ def throughput_stream(
         timed = events.withColumn(time_col, F.col(time_col).cast("timestamp"))
     counts = bucket_counts(timed.withWatermark(time_col, watermark), time_col, failed, granularity)
 
+    if final_only:
+        writer = counts.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        return writer.outputMode("append").trigger(**trigger).start()
+
     def put(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 

@@ -54,3 +54,11 @@ def test_live_throughput(spark, folder):
     throughput_stream(stream, "ts", F.col("bad"), f"{folder}/out", f"{folder}/ck").awaitTermination()
     batch = bucket_counts(spark.read.parquet(source), "ts", F.col("bad"), "minute")
     assert rows(latest_buckets(spark, f"{folder}/out")) == rows(batch)
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    throughput_stream(
+        stream, "ts", F.col("bad"), f"{folder}/final", f"{folder}/ck2", watermark="2 minutes", final_only=True
+    ).awaitTermination()
+    newest = start + dt.timedelta(seconds=20 * 149)
+    closed = batch.filter(F.col("t") + F.expr("INTERVAL 1 MINUTE") <= F.lit(newest - dt.timedelta(minutes=2)))
+    assert rows(spark.read.parquet(f"{folder}/final")) == rows(closed)
