@@ -56,14 +56,19 @@ def unify_ids(
     tells whether this call changed the row.
 
     The minimum is aggregated map-side and only groups with something to change are kept, so no group ever has to meet
-    in one task, as it would in a window. Rows then look their group up: by broadcast if those groups are few;
-    otherwise only the flagged rows are shuffled, hot groups apart.
+    in one task, as it would in a window. Where few groups have flagged rows, as with a short mapping, only rows of
+    those groups are aggregated at all. Rows then look their group up: by broadcast if those groups are few; otherwise
+    only the flagged rows are shuffled, hot groups apart.
     """
     require(rows, [*group, id_col, deprecated_col, flag_col], "rows")
     flagged = F.lit(True) if include_unmapped else F.coalesce(F.col(flag_col), F.lit(False))
     named = rows
     for name in strict if strict is not None else group[:1]:
         named = named.filter(F.col(name).isNotNull())
+    if not include_unmapped:
+        affected = settle(named.filter(flagged).select(*group).distinct(), "groups")
+        if settled_fits(affected, limits):
+            named = lookup_join(named, affected, group, "left_semi", null_safe=True, limits=limits)
     groups = named.groupBy(*group).agg(
         F.min(id_col).alias("__lowest"),
         F.max(id_col).alias("__highest"),
