@@ -50,21 +50,25 @@ def mapping_split_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mapping_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers and brands are known already; names and brands of parts are loaded in the order of their keys."""
     part = st.table(spark, sf_dir, "part")
-    name = F.concat_ws(" ", "p_name", "p_type")
-    target = part.filter("p_partkey % 3 = 0").select(name.alias("original"), F.lit("old").alias("normalized"))
-    updates = part.filter("p_size > 40").select(
-        name.alias("original"), F.col("p_brand").alias("normalized"), F.col("p_partkey").alias("_ord")
+    known = st.table(spark, sf_dir, "supplier").select("s_name").union(part.select("p_brand")).toDF("original")
+    target = known.distinct().withColumn("normalized", F.lit("old"))
+    pairs = F.array(
+        F.struct(F.concat_ws(" ", "p_name", "p_type").alias("original"), F.col("p_brand").alias("normalized")),
+        F.struct(F.col("p_brand").alias("original"), F.col("p_name").alias("normalized")),
     )
-    return mapping.upsert(target.distinct(), updates, ["original"], "_ord")
+    updates = part.select(F.inline(pairs), F.col("p_partkey").alias("_ord"))
+    return mapping.upsert(target, updates, ["original"], "_ord")
 
 
 def mapping_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = st.table(spark, sf_dir, "part").filter("p_partkey > 0 AND p_partkey % 10 <> 3")
+    """Every part stands for the part of half its number, but for those that end a chain."""
+    key = F.col("p_partkey")
+    target = F.when((key == 0) | (key % 10 == 3), key).otherwise(F.floor(key / 2))
     return mapping.resolve_chains(
-        links.select(
-            F.concat(F.lit("n"), F.col("p_partkey")).alias("original"),
-            F.concat(F.lit("n"), F.floor(F.col("p_partkey") / 2)).alias("normalized"),
+        st.table(spark, sf_dir, "part").select(
+            F.concat(F.lit("n"), key).alias("original"), F.concat(F.lit("n"), target).alias("normalized")
         )
     )
 
@@ -151,7 +155,8 @@ def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table rewritten from itself."""
     base = fresh_path(spark, "tables")
     tables.write_table(st.table(spark, sf_dir, "orders"), base, "orders")
-    tables.write_table(tables.load_table(spark, base, "orders").filter("o_orderkey % 2 = 0"), base, "orders")
+    first = tables.load_table(spark, base, "orders")
+    tables.write_table(first.withColumn("o_orderpriority", F.lower("o_orderpriority")), base, "orders")
     return tables.load_table(spark, base, "orders")
 
 
@@ -190,12 +195,12 @@ def compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = st.table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     spelled = (
-        F.when(key % 101 == 0, F.lit(None))
+        F.when(key % 4 == 0, F.lit(None))
         .when(key % 3 == 0, F.upper("c_name"))
         .otherwise(F.concat(F.lit(" "), F.col("c_name")))
     )
-    left = customer.filter(key % 4 != 0).select(spelled.alias("name"))
-    right = customer.filter(key % 5 != 0).select(F.lower("c_name").alias("kb_name"))
+    left = customer.select(spelled.alias("name"))
+    right = customer.select(F.when(key % 5 != 0, F.lower("c_name")).alias("kb_name"))
     return reconcile.compare_tables_by_keys(left, right, [("name", "kb_name")])
 
 
@@ -204,16 +209,18 @@ def compare_tables_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     spelled = F.when(key % 3 == 0, F.lower("c_mktsegment")).otherwise(F.concat("c_mktsegment", F.lit(" ")))
     nation = F.when(key % 11 != 0, F.col("c_nationkey"))
-    left = customer.filter(key % 4 != 0).select(spelled.alias("segment"), nation.alias("nation"))
-    right = customer.filter("c_nationkey < 20").select("c_mktsegment", "c_nationkey")
+    left = customer.select(spelled.alias("segment"), nation.alias("nation"))
+    other = F.when(F.col("c_nationkey") < 20, F.col("c_nationkey")).otherwise(-1)
+    right = customer.select("c_mktsegment", other.alias("c_nationkey"))
     return reconcile.compare_tables_by_keys(left, right, [("segment", "c_mktsegment"), ("nation", "c_nationkey")])
 
 
 def preview_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose number no supplier has."""
     return reconcile.preview_new_rows(
         st.table(spark, sf_dir, "customer"),
-        st.table(spark, sf_dir, "orders").filter("o_custkey % 3 <> 0"),
-        [("c_custkey", "o_custkey")],
+        st.table(spark, sf_dir, "supplier"),
+        [("c_custkey", "s_suppkey")],
         {
             "fullname": F.col("c_name").cast("string"),
             "country": F.col("c_nationkey").cast("string"),
@@ -226,10 +233,15 @@ def preview_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insert_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers are there under customer names; all customers arrive, twice and spelled differently."""
     customer = st.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    target = customer.filter("c_custkey % 3 <> 0")
+    target = st.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("c_custkey"),
+        F.replace("s_name", F.lit("Supplier"), F.lit("Customer")).alias("c_name"),
+        F.lit("supplier").alias("c_mktsegment"),
+    )
     spelled = customer.withColumn("c_name", F.concat(F.lit(" "), F.upper("c_name")))
-    again = spelled.filter("c_custkey % 2 = 0").withColumn("c_mktsegment", F.lit("ZZZ"))
+    again = spelled.withColumn("c_mktsegment", F.lit("ZZZ"))
     return reconcile.insert_missing(target, spelled.unionByName(again), ["c_name"])
 
 
@@ -307,11 +319,11 @@ def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reindex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An index loaded twice: first all customers, then some of them with other content."""
+    """An index loaded twice: first all customers, then the suppliers, which share some of the numbers."""
     customer = st.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    changed = customer.filter("c_custkey % 4 = 0").withColumn("c_mktsegment", F.lit("changed"))
+    supplier = st.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), "s_name")
     base = fresh_path(spark, "tables")
-    for rows in (customer, changed):
+    for rows in (customer, supplier.withColumnRenamed("s_name", "c_mktsegment")):
         documents.reindex(spark, base, "customers", documents.index_documents(rows, "c_custkey"))
     index = tables.load_table(spark, base, "customers")
     return documents.flatten_json(index, "_source", "c_custkey bigint, c_mktsegment string")
@@ -533,18 +545,19 @@ def oracle_sql() -> dict[str, str]:
             FROM lines""",
         "mapping_upsert": """
             WITH target AS (
-                SELECT DISTINCT p_name || ' ' || p_type AS original, 'old' AS normalized FROM part
-                WHERE p_partkey % 3 = 0),
+                SELECT s_name AS original, 'old' AS normalized FROM supplier UNION SELECT p_brand, 'old' FROM part),
+            pairs AS (
+                SELECT p_name || ' ' || p_type AS original, p_brand AS normalized, p_partkey FROM part
+                UNION ALL SELECT p_brand, p_name, p_partkey FROM part),
             updates AS (
                 SELECT original, normalized FROM (
-                    SELECT p_name || ' ' || p_type AS original, p_brand AS normalized,
-                           row_number() OVER (PARTITION BY p_name || ' ' || p_type ORDER BY p_partkey DESC) AS r
-                    FROM part WHERE p_size > 40) WHERE r = 1)
+                    SELECT *, row_number() OVER (PARTITION BY original ORDER BY p_partkey DESC) AS r FROM pairs)
+                WHERE r = 1)
             SELECT * FROM target WHERE original NOT IN (SELECT original FROM updates)
             UNION ALL SELECT * FROM updates""",
         "mapping_chains": """
             WITH RECURSIVE walk AS (
-                SELECT p_partkey AS start, p_partkey // 2 AS at_ FROM part WHERE p_partkey > 0 AND p_partkey % 10 <> 3
+                SELECT p_partkey AS start, p_partkey AS at_ FROM part
                 UNION ALL
                 SELECT start, at_ // 2 FROM walk WHERE at_ > 0 AND at_ % 10 <> 3)
             SELECT concat('n', CAST(start AS VARCHAR)) AS original, concat('n', CAST(at_ AS VARCHAR)) AS normalized
@@ -593,11 +606,11 @@ def oracle_sql() -> dict[str, str]:
             WITH {_NAMES}
             SELECT 'load-mapping' AS component, true AS success, count(*) AS rows FROM institution_mapping
             UNION ALL SELECT 'apply-deduplication', true, count(*) FROM canonical""",
-        "replace_table": "SELECT * FROM orders WHERE o_orderkey % 2 = 0",
+        "replace_table": "SELECT * REPLACE (lower(o_orderpriority) AS o_orderpriority) FROM orders",
         "reindex": """
-            SELECT CAST(c_custkey AS VARCHAR) AS _id, c_custkey,
-                   CASE WHEN c_custkey % 4 = 0 THEN 'changed' ELSE c_mktsegment END AS c_mktsegment
-            FROM customer""",
+            SELECT CAST(coalesce(s_suppkey, c_custkey) AS VARCHAR) AS _id, coalesce(s_suppkey, c_custkey) AS c_custkey,
+                   coalesce(s_name, c_mktsegment) AS c_mktsegment
+            FROM customer FULL OUTER JOIN supplier ON c_custkey = s_suppkey""",
         "dup_documents": f"""{doc_groups}
             SELECT g."column", g.value, g.count, 0 AS part,
                    (SELECT string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) FROM documents
@@ -631,10 +644,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "compare_tables": """
             WITH a AS (
-                SELECT CASE WHEN c_custkey % 101 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN upper(c_name)
+                SELECT CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN upper(c_name)
                             ELSE ' ' || c_name END AS name
-                FROM customer WHERE c_custkey % 4 <> 0),
-            b AS (SELECT lower(c_name) AS kb_name FROM customer WHERE c_custkey % 5 <> 0)
+                FROM customer),
+            b AS (SELECT CASE WHEN c_custkey % 5 <> 0 THEN lower(c_name) END AS kb_name FROM customer)
             SELECT CASE WHEN name IS NOT NULL AND kb_name IS NOT NULL THEN 'match'
                         WHEN name IS NOT NULL THEN 'only_in_left'
                         WHEN kb_name IS NOT NULL THEN 'only_in_right' ELSE 'unknown' END AS match_type,
@@ -645,8 +658,9 @@ def oracle_sql() -> dict[str, str]:
             WITH a AS (
                 SELECT CASE WHEN c_custkey % 3 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment || ' ' END AS segment,
                        CASE WHEN c_custkey % 11 <> 0 THEN c_nationkey END AS nation
-                FROM customer WHERE c_custkey % 4 <> 0),
-            b AS (SELECT c_mktsegment, c_nationkey FROM customer WHERE c_nationkey < 20)
+                FROM customer),
+            b AS (SELECT c_mktsegment, CASE WHEN c_nationkey < 20 THEN c_nationkey ELSE -1 END AS c_nationkey
+                  FROM customer)
             SELECT CASE WHEN segment IS NOT NULL AND c_mktsegment IS NOT NULL THEN 'match'
                         WHEN segment IS NOT NULL THEN 'only_in_left'
                         WHEN c_mktsegment IS NOT NULL THEN 'only_in_right' ELSE 'unknown' END AS match_type,
@@ -658,13 +672,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT concat('i:', substr(md5(CAST(c_custkey AS VARCHAR)), 1, 16)) AS uuid_individual,
                    c_name AS fullname, CAST(c_nationkey AS VARCHAR) AS country, CAST(c_custkey AS VARCHAR) AS kb_uuid,
                    TIMESTAMP '2024-06-01 00:00:00' AS last_update
-            FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 3 <> 0) o
-              ON CAST(c_custkey AS VARCHAR) = CAST(o_custkey AS VARCHAR)
-            WHERE o_custkey IS NULL""",
+            FROM customer WHERE NOT EXISTS (
+                SELECT 1 FROM supplier WHERE CAST(s_suppkey AS VARCHAR) = CAST(c_custkey AS VARCHAR))""",
         "insert_missing": """
-            SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0
+            WITH target AS (
+                SELECT s_suppkey AS c_custkey, replace(s_name, 'Supplier', 'Customer') AS c_name,
+                       'supplier' AS c_mktsegment
+                FROM supplier)
+            SELECT * FROM target
             UNION ALL
-            SELECT c_custkey, ' ' || upper(c_name), c_mktsegment FROM customer WHERE c_custkey % 3 = 0""",
+            SELECT c_custkey, ' ' || upper(c_name), c_mktsegment FROM customer
+            WHERE lower(c_name) NOT IN (SELECT lower(c_name) FROM target)""",
         "dedup_stats": f"""
             WITH {_NAMES}
             SELECT count(*) AS total_rows, count(*) FILTER (WHERE was_deduplicated) AS deduplicated_rows,

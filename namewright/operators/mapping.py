@@ -39,7 +39,8 @@ def upsert(
 
 def _unique_targets(mapping: DataFrame) -> DataFrame:
     """One target per original: repeated originals would multiply rows. Of several targets the greatest text stands."""
-    return mapping.filter(F.col("original").isNotNull()).groupBy("original").agg(F.max("normalized").alias("normalized"))
+    named = mapping.filter(F.col("original").isNotNull())
+    return named.groupBy("original").agg(F.max("normalized").alias("normalized"))
 
 
 def apply_mapping(
