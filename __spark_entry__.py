@@ -367,6 +367,37 @@ def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.latest_buckets(spark, f"{out}/rows").withColumn("t", F.col("t").cast("timestamp_ntz"))
 
 
+# Text corpora: these folders may be absent ---------------------------------------------------------------------------
+
+
+def _corpus():
+    """The subpackage and the pipeline, or nothing where they have been taken out; other import errors are raised."""
+    try:
+        import corpus_pipeline
+        from namewright.llm import registry
+    except ModuleNotFoundError as error:
+        if error.name in ("corpus_pipeline", "namewright.llm", "namewright.llm.registry"):
+            return None
+        raise
+    except ImportError as error:
+        if error.name == "namewright.llm":
+            return None
+        raise
+    return registry, corpus_pipeline
+
+
+def _corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = _corpus()
+    return {} if found is None else {**found[0].QUERIES, "pipeline": found[1].run}
+
+
+def _corpus_sql() -> dict[str, str]:
+    found = _corpus()
+    if found is None:
+        return {}
+    return found[0].ORACLE_SQL | ({"pipeline": found[1].ORACLE_SQL} if found[1].ORACLE_SQL else {})
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The unified table: mapping, country, smallest id per group."""
     return unify_ids(spark, "/root/testdata/sf0.001")
@@ -419,7 +450,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_insert_missing,
         stream_throughput,
     ]
-    return {query.__name__: query for query in registered}
+    return {query.__name__: query for query in registered} | _corpus_queries()
 
 
 # Oracle SQL -----------------------------------------------------------------------------------------------------------
@@ -752,4 +783,4 @@ def oracle_sql() -> dict[str, str]:
             SELECT date_trunc('hour', ts) AS t, count(*) AS count,
                    count(*) FILTER (WHERE event_type = 'error') AS errors
             FROM events GROUP BY 1""",
-    }
+    } | _corpus_sql()
