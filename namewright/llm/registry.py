@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from namewright.llm import exact_dedup, packing, quality
+from namewright.llm import exact_dedup, minhash, packing, quality
 
-_MODULES = (exact_dedup, packing, quality)
+_MODULES = (exact_dedup, minhash, packing, quality)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
