@@ -15,11 +15,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and go on from there: cuts lineage and survives lost executors."""
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+    """Write once to the shared folder and go on from there: cuts lineage and survives lost executors.
+
+    ``batch_rows`` bounds the rows that Python workers get at a time while this is written; for rows that hold texts.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_ROWS)
+    if batch_rows is not None:
+        spark.conf.set(BATCH_ROWS, min(batch_rows, int(before)))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -23,6 +23,8 @@ LEAST_MATCHES = 14
 PERCENT = 85
 #: Members of a posting list that are compared with each other in one piece.
 BLOCK = 512
+#: Rows with texts or full sets that a Python worker gets at a time.
+TEXT_ROWS = 500
 
 _SEED = 7
 
@@ -67,7 +69,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, coordinates: int, wo
             for one in shingle_sets(batch.column("text").to_pylist(), words):
                 sets.append(one)
                 size += len(one)
-                if size > 500_000:
+                if size > 200_000:
                     yield flush(done, sets)
                     done, size, sets = done + len(sets), 0, []
             if sets:
@@ -242,7 +244,7 @@ def near_duplicates(
     Ids must be whole numbers and identify a text; a row that repeats is in the class of its text. A null id is linked
     with nothing and stays. A null or empty text has no shingles and is linked with nothing.
     """
-    sig = written(signatures(docs, id_col, text_col, coordinates, words), "signatures")
+    sig = written(signatures(docs, id_col, text_col, coordinates, words), "signatures", TEXT_ROWS)
     linkable = sig.where("n_shingles > 0 AND id IS NOT NULL")
     classes = linkable.groupBy("digest").agg(
         F.min("id").cast("bigint").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")
@@ -267,7 +269,7 @@ def near_duplicates(
     stars = stars.where(_matches(least_matches, percent)).select("a", "b", agree)
     best = stars.groupBy("a").agg(F.max(F.struct("agree", -F.col("b"))).alias("top"))
     best = written(best.select("a", (-F.col("top.col2")).alias("b")), "stars")
-    links = written(confirm(best, docs, id_col, text_col, percent, words), "confirmed")
+    links = written(confirm(best, docs, id_col, text_col, percent, words), "confirmed", TEXT_ROWS)
     first = components(links)
 
     labelled = posted.join(first.withColumnRenamed("node", "rep"), "rep", "left")
@@ -277,7 +279,7 @@ def near_duplicates(
     members = labelled.join(spread, "key").join(side, "rep")
     members = written(members, "members")
     pairs = cross_pairs(members, least_matches, percent, block).join(best, ["a", "b"], "left_anti")
-    more = written(confirm(written(pairs, "cross"), docs, id_col, text_col, percent, words), "confirmed")
+    more = written(confirm(written(pairs, "cross"), docs, id_col, text_col, percent, words), "confirmed", TEXT_ROWS)
     for end in ("a", "b"):
         own = first.select(F.col("node").alias("of"), F.col("root").alias("to"))
         more = more.join(own, F.col(end) == F.col("of"), "left")

@@ -8,7 +8,7 @@ import numpy as np
 
 WORDS_PER_SHINGLE = 5
 #: Texts are hashed together up to so many bytes; a longer one is hashed alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -36,7 +36,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
             tables.append(np.multiply.accumulate(steps))
-        if size <= 1 << 23:
+        if size <= 1 << 21:
             _powers[size] = tuple(tables)
         return tuple(tables)
     return _powers[size]
