@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+def written(df: DataFrame, label: str, batch_rows: int | None = None, few_files: bool = False) -> DataFrame:
     """Write once to the shared folder and go on from there: cuts lineage and survives lost executors.
 
     ``batch_rows`` bounds the rows that Python workers get at a time while this is written; for rows that hold texts.
+    ``few_files`` writes no more files than the cluster has cores; for tables of ids, small against the texts.
     """
     spark = df.sparkSession
+    if few_files:
+        df = df.coalesce(spark.sparkContext.defaultParallelism)
     path = fresh_path(spark, label)
     before = spark.conf.get(BATCH_ROWS)
     if batch_rows is not None:
@@ -35,6 +39,24 @@ def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def held(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    """Compute once and keep on the executors' disks, for steps of a few numbers per row between written tables.
+
+    Lineage stays: what a lost executor held is computed again from the last written table, so the step must give the
+    same rows each time. Spares the many small files that writing every step would make.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(BATCH_ROWS)
+    if batch_rows is not None:
+        spark.conf.set(BATCH_ROWS, min(batch_rows, int(before)))
+    try:
+        df = df.persist(StorageLevel.DISK_ONLY)
+        df.count()
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+    return df
+
+
 def text_or_empty(text_col: str) -> Column:
     return F.coalesce(quoted(text_col).cast("string"), F.lit(""))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from namewright.llm.common import by_ids, quoted, table, written
+from namewright.llm.common import by_ids, held, quoted, table, written
 from namewright.llm.components import components
 from namewright.llm.shingles import WORDS_PER_SHINGLE, mixed, shingle_sets
 
@@ -88,7 +88,7 @@ def posting_lists(reps: DataFrame, coordinates: int, least_matches: int) -> Data
     """
     postings = reps.select("rep", F.explode("sig").alias("key"))
     counts = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c >= 2")
-    shared = postings.join(written(counts, "frequencies"), "key")
+    shared = postings.join(held(counts), "key")
     own = shared.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("c", "key"))).alias("l"))
     own = own.where(F.size("l") >= least_matches)
     prefix = F.slice("l", F.lit(1), F.size("l") - (least_matches - 1))
@@ -114,7 +114,7 @@ def cross_pairs(members: DataFrame, least_matches: int, percent: int, block: int
         F.sum("c").alias("c_all"), F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("kinds")
     )
     lists = lists.where("kinds > 1").select("key", "c_all", F.col("top.c").alias("c_top"), F.col("top.label").alias("main"))
-    lists = written(lists, "mixed-lists")
+    lists = held(lists)
     found = members.join(lists, "key")
     blocks = F.ceil(F.col("c_all") / block).cast("int")
     probe_blocks = F.ceil((F.col("c_all") - F.col("c_top")) / block).cast("int")
@@ -181,7 +181,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, perce
     Only documents in a pair are shingled again, found by a semi join that moves no texts while ids are few. Each pair
     then meets its two sets, which a join deals by document; a document in very many pairs is split.
     """
-    ids = written(pairs.select("a").union(pairs.select("b")).distinct(), "pair-ids")
+    ids = held(pairs.select("a").union(pairs.select("b")).distinct())
     texts = by_ids(docs, ids, "left_semi", id_col).select(
         quoted(id_col).cast("bigint").alias("id"), quoted(text_col).cast("string").cast("binary").alias("text")
     )
@@ -244,13 +244,13 @@ def near_duplicates(
     Ids must be whole numbers and identify a text; a row that repeats is in the class of its text. A null id is linked
     with nothing and stays. A null or empty text has no shingles and is linked with nothing.
     """
-    sig = written(signatures(docs, id_col, text_col, coordinates, words), "signatures", TEXT_ROWS)
+    sig = held(signatures(docs, id_col, text_col, coordinates, words), TEXT_ROWS)
     linkable = sig.where("n_shingles > 0 AND id IS NOT NULL")
     classes = linkable.groupBy("digest").agg(
         F.min("id").cast("bigint").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")
     )
-    classes = written(classes, "classes")
-    posted = written(posting_lists(classes, coordinates, least_matches), "postings")
+    classes = held(classes)
+    posted = held(posting_lists(classes, coordinates, least_matches))
 
     lists = posted.groupBy("key").agg(
         F.count(F.lit(1)).alias("c"),
@@ -259,8 +259,8 @@ def near_duplicates(
         F.bit_xor(F.xxhash64("rep")).alias("x"),
     )
     lists = lists.where("c >= 2").groupBy("c", "pivot", "last", "x").agg(F.min("key").alias("key"))
-    lists = written(lists.select("key", "pivot"), "lists")
-    posted = written(posted.join(lists, "key"), "listed")
+    lists = held(lists.select("key", "pivot"))
+    posted = written(posted.join(lists, "key"), "listed", few_files=True)
 
     side = classes.select(F.col("rep"), F.col("n"), F.col("sig"))
     stars = posted.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -268,18 +268,19 @@ def near_duplicates(
     agree = F.size(F.array_intersect("sig_a", "sig_b")).alias("agree")
     stars = stars.where(_matches(least_matches, percent)).select("a", "b", agree)
     best = stars.groupBy("a").agg(F.max(F.struct("agree", -F.col("b"))).alias("top"))
-    best = written(best.select("a", (-F.col("top.col2")).alias("b")), "stars")
-    links = written(confirm(best, docs, id_col, text_col, percent, words), "confirmed", TEXT_ROWS)
+    best = held(best.select("a", (-F.col("top.col2")).alias("b")))
+    links = written(confirm(best, docs, id_col, text_col, percent, words), "links", TEXT_ROWS, few_files=True)
     first = components(links)
 
     labelled = posted.join(first.withColumnRenamed("node", "rep"), "rep", "left")
-    labelled = written(labelled.select("key", "rep", F.coalesce("root", "rep").alias("label")), "labelled")
+    labelled = held(labelled.select("key", "rep", F.coalesce("root", "rep").alias("label")))
     spread = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-    spread = written(spread.where("least <> most").select("key"), "spread")
+    spread = held(spread.where("least <> most").select("key"))
     members = labelled.join(spread, "key").join(side, "rep")
-    members = written(members, "members")
+    members = held(members)
     pairs = cross_pairs(members, least_matches, percent, block).join(best, ["a", "b"], "left_anti")
-    more = written(confirm(written(pairs, "cross"), docs, id_col, text_col, percent, words), "confirmed", TEXT_ROWS)
+    pairs = written(pairs, "cross", few_files=True)
+    more = written(confirm(pairs, docs, id_col, text_col, percent, words), "links", TEXT_ROWS, few_files=True)
     for end in ("a", "b"):
         own = first.select(F.col("node").alias("of"), F.col("root").alias("to"))
         more = more.join(own, F.col(end) == F.col("of"), "left")
@@ -289,7 +290,7 @@ def near_duplicates(
     top = classes.select("digest", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left")
     top = top.select("digest", F.coalesce("root", "rep").alias("root"))
     top = top.join(second.toDF("of", "to"), F.col("root") == F.col("of"), "left")
-    top = written(top.select("digest", F.coalesce("to", "root").alias("component")), "components")
+    top = held(top.select("digest", F.coalesce("to", "root").alias("component")))
     linked = sig.join(top, (sig.digest == top.digest) & (sig.n_shingles > 0) & sig.id.isNotNull(), "left")
     component = F.coalesce(F.col("component"), F.col("id")).cast("bigint")
     return linked.select(
