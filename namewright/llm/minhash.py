@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ COORDINATES = 32
 LEAST_MATCHES = 14
 #: Two documents are linked when 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: Members of a posting list that are compared with each other in one piece.
+#: Members of a group that are compared with each other in one piece.
 BLOCK = 512
 #: Rows with texts or full sets that a Python worker gets at a time.
 TEXT_ROWS = 500
@@ -78,47 +78,84 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, coordinates: int, wo
     return source.mapInArrow(run, schema)
 
 
-def posting_lists(reps: DataFrame, coordinates: int, least_matches: int) -> DataFrame:
-    """``(rep, key)``: each signature under the rarest of its coordinate values (prefix filter).
+def posting_lists(reps: DataFrame, least_matches: int) -> DataFrame:
+    """``(rep, key, shared)``: each signature under the rarest of its coordinate values (prefix filter).
 
     Values that only one signature has can match nothing. Of the others a signature needs as many as must agree, or it
     has no partner at all; two signatures that agree on enough share one of the rarest in the global order by frequency
     when each leaves out all but ``least_matches - 1`` of its most frequent ones. Values that a large share of the
-    documents have, such as those of a passage found everywhere, so rarely get a list.
+    documents have, such as those of a passage found everywhere, so rarely get a list. ``shared`` is how many others
+    have a value of the signature, over all of them.
     """
     postings = reps.select("rep", F.explode("sig").alias("key"))
     counts = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c >= 2")
     shared = postings.join(held(counts), "key")
-    own = shared.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("c", "key"))).alias("l"))
+    own = shared.groupBy("rep").agg(
+        F.array_sort(F.collect_list(F.struct("c", "key"))).alias("l"), F.sum("c").alias("shared")
+    )
     own = own.where(F.size("l") >= least_matches)
     prefix = F.slice("l", F.lit(1), F.size("l") - (least_matches - 1))
-    return own.select("rep", F.explode(prefix).alias("p")).select("rep", F.col("p.key").alias("key"))
+    return own.select("rep", "shared", F.explode(prefix).alias("p")).select("rep", F.col("p.key").alias("key"), "shared")
+
+
+def differences(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """Adds ``n_a, n_b`` (sizes of the full shingle sets) and ``apart`` (the shingles in one set only) to ``(a, b)``.
+
+    Only documents in a pair are shingled again, found by a semi join that moves no texts while ids are few. Each pair
+    then meets its two sets, which a join deals by document; a document in very many pairs is split.
+    """
+    ids = held(pairs.select("a").union(pairs.select("b")).distinct())
+    texts = by_ids(docs, ids, "left_semi", id_col).select(
+        quoted(id_col).cast("bigint").alias("id"), quoted(text_col).cast("string").cast("binary").alias("text")
+    )
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = (one.tobytes() for one in shingle_sets(batch.column("text").to_pylist(), words))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "shingles"])
 
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b, apart = [], [], []
+            for x, y in zip(batch.column("of_a"), batch.column("of_b"), strict=True):
+                x, y = (np.frombuffer(side.as_buffer(), np.uint64) for side in (x, y))
+                n_a.append(len(x))
+                n_b.append(len(y))
+                apart.append(np.setxor1d(x, y, assume_unique=True).tobytes())
+            columns = [batch.column("a"), batch.column("b"), pa.array(n_a), pa.array(n_b), pa.array(apart, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n_a", "n_b", "apart"])
+
+    sets = texts.mapInArrow(hashed, "id long, shingles binary")
+    of_a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
+    of_b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
+    full = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "of_a", "of_b")
+    return full.mapInArrow(compared, "a long, b long, n_a long, n_b long, apart binary")
 
-def _matches(least_matches: int, percent: int) -> Column:
-    agree = F.size(F.array_intersect("sig_a", "sig_b"))
-    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return sizes & (agree >= least_matches)
 
+def similar(n_a, n_b, apart, percent: int):
+    """100 * intersection >= percent * union, from the sizes of two sets and of their symmetric difference."""
+    return 100 * (n_a + n_b - apart) >= percent * (n_a + n_b + apart)
 
-def cross_pairs(members: DataFrame, least_matches: int, percent: int, block: int) -> DataFrame:
-    """Pairs ``(a, b)``, a > b, of members ``(key, rep, label, n, sig)`` of one list with different labels that agree on
-    enough coordinates.
 
-    Every list is dealt into cells of about ``block`` by ``block`` members, so a list of any length is spread over many
-    tasks. Members with a list's most frequent label are not compared with each other, and of the pairs compared only
-    those that pass leave the task.
+def cross_links(members: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links ``(a, b)`` between labels among members ``(pivot, rep, label, n, apart)`` of one pivot's group.
+
+    ``apart`` holds the shingles in which a member differs from the pivot. Members x and y differ in the shingles that
+    are in just one of their two differences, so their exact similarity follows from these alone.
+
+    Every group is dealt into cells of about ``block`` by ``block`` members, so that a group of any size is spread over
+    many tasks. Members with a group's most frequent label are not compared with each other. A cell gives links that
+    join the labels in it, one less than there are labels at most, however many pairs are similar.
     """
-    labels = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    lists = labels.groupBy("key").agg(
+    labels = members.groupBy("pivot", "label").agg(F.count(F.lit(1)).alias("c"))
+    groups = labels.groupBy("pivot").agg(
         F.sum("c").alias("c_all"), F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("kinds")
     )
-    lists = lists.where("kinds > 1").select("key", "c_all", F.col("top.c").alias("c_top"), F.col("top.label").alias("main"))
-    lists = held(lists)
-    found = members.join(lists, "key")
+    groups = groups.where("kinds > 1").select("pivot", "c_all", F.col("top.c").alias("c_top"), F.col("top.label").alias("main"))
+    found = members.join(held(groups), "pivot")
     blocks = F.ceil(F.col("c_all") / block).cast("int")
     probe_blocks = F.ceil((F.col("c_all") - F.col("c_top")) / block).cast("int")
-    row = ["key", "rep", "label", "n", "sig"]
+    row = ["pivot", "rep", "label", "n", "apart"]
     base = found.select(
         *row,
         F.lit(False).alias("probe"),
@@ -131,88 +168,62 @@ def cross_pairs(members: DataFrame, least_matches: int, percent: int, block: int
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"),
         F.pmod(F.xxhash64("rep"), probe_blocks).cast("int").alias("j"),
     )
-    cells = base.unionByName(probes).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    cells = cells.select("key", "i", "j", "probe", "rep", "label", "n", "sig")
-
-    def compare(cell: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        a, b = [], []
-        base, probe = np.flatnonzero(~cell["probe"]), np.flatnonzero(cell["probe"])
-        sig, label, n, rep = cell["sig"][base], cell["label"][base], cell["n"][base], cell["rep"][base]
-        for p in probe:
-            own = cell["n"][p]
-            near = (label != cell["label"][p]) & (100 * np.minimum(n, own) >= percent * np.maximum(n, own))
-            near = np.flatnonzero(near)
-            near = near[(sig[near] == cell["sig"][p]).sum(1) >= least_matches]
-            a.append(np.maximum(rep[near], cell["rep"][p]))
-            b.append(np.minimum(rep[near], cell["rep"][p]))
-        empty = np.zeros(0, np.int64)
-        return np.concatenate([empty, *a]), np.concatenate([empty, *b])
+    cells = base.unionByName(probes).repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+    cells = cells.select("pivot", "i", "j", "probe", "rep", "label", "n", "apart")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "probe", "rep", "label", "n")}
-            now["sig"] = batch.column("sig").flatten().to_numpy().reshape(batch.num_rows, -1)
-            if held is not None:
-                now = {c: np.concatenate([held[c], now[c]]) for c in now}
-            new = np.zeros(len(now["key"]), bool)
-            for c in ("key", "i", "j"):
-                new[1:] |= now[c][1:] != now[c][:-1]
-            cuts = [0, *np.flatnonzero(new).tolist()]
-            out = [compare({c: v[x:y] for c, v in now.items()}) for x, y in zip(cuts, cuts[1:], strict=False)]
-            held = {c: v[cuts[-1] :].copy() for c, v in now.items()}
-            yield from result(out)
-        if held is not None:
-            yield from result([compare(held)])
-
-    def result(out: list) -> Iterator[pa.RecordBatch]:
-        if out:
-            a, b = (np.concatenate(side) for side in zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return cells.mapInArrow(run, "a long, b long").distinct()
+        cell, rows = None, []
 
+        def result() -> Iterator[pa.RecordBatch]:
+            found = cell_links(rows, percent)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
 
-def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int, words: int) -> DataFrame:
-    """Those of the written pairs ``(a, b)`` whose full shingle sets are similar enough.
-
-    Only documents in a pair are shingled again, found by a semi join that moves no texts while ids are few. Each pair
-    then meets its two sets, which a join deals by document; a document in very many pairs is split.
-    """
-    ids = held(pairs.select("a").union(pairs.select("b")).distinct())
-    texts = by_ids(docs, ids, "left_semi", id_col).select(
-        quoted(id_col).cast("bigint").alias("id"), quoted(text_col).cast("string").cast("binary").alias("text")
-    )
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, held, size = batch.column("id"), [], 0
-            done = 0
-            for one in shingle_sets(batch.column("text").to_pylist(), words):
-                held.append(one.tobytes())
-                size += len(held[-1])
-                if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([ids.slice(done, len(held)), pa.array(held, pa.binary())], ["id", "shingles"])
-                    done, held, size = done + len(held), [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([ids.slice(done, len(held)), pa.array(held, pa.binary())], ["id", "shingles"])
+            for row in zip(*(batch.column(c).to_pylist() for c in batch.schema.names), strict=True):
+                if row[:3] != cell:
+                    yield from result()
+                    cell, rows = row[:3], []
+                rows.append(row[3:])
+        yield from result()
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("of_a"), batch.column("of_b"), strict=True):
-                x, y = (np.frombuffer(side.as_buffer(), np.uint64) for side in (x, y))
-                both = np.intersect1d(x, y, assume_unique=True).size
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return cells.mapInArrow(run, "a long, b long").distinct()
 
-    sets = texts.mapInArrow(hashed, "id long, shingles binary")
-    of_a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-    of_b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    full = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "of_a", "of_b")
-    return full.mapInArrow(compared, "a long, b long")
+
+def cell_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links between rows ``(probe, rep, label, n, apart)``, probes against the others, that join further labels."""
+    base = [row for row in rows if not row[0]]
+    probes = [row for row in rows if row[0]]
+    if not base or not probes:
+        return []
+    _, rep, label, n, apart = zip(*base, strict=True)
+    n = np.array(n)
+    apart = [np.frombuffer(x, np.uint64) for x in apart]
+    sizes = np.array([len(x) for x in apart])
+    owners = np.repeat(np.arange(len(base)), sizes)
+    every = np.concatenate(apart)
+    order = np.argsort(every, kind="stable")
+    every, owners = every[order], owners[order]
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
+    out = []
+    for _, own, own_label, own_n, own_apart in probes:
+        own_apart = np.frombuffer(own_apart, np.uint64)
+        first, last = np.searchsorted(every, own_apart, "left"), np.searchsorted(every, own_apart, "right")
+        counts = last - first
+        at = np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        both = np.bincount(owners[at], minlength=len(base))
+        for k in np.flatnonzero(similar(n, own_n, sizes + len(own_apart) - 2 * both, percent)):
+            x, y = root(own_label), root(label[k])
+            if x != y:
+                parent[x] = y
+                out.append((max(own, rep[k]), min(own, rep[k])))
+    return out
 
 
 def near_duplicates(
@@ -231,13 +242,12 @@ def near_duplicates(
     is what links reach, named by its smallest id; the document of that id is kept.
 
     1. Documents with the same set are one class, represented by the smallest id.
-    2. Each class is posted under the rarest of its coordinate values (``posting_lists``). Of lists with the same
-       members one is enough.
-    3. Every member of a list is paired with the list's smallest member; pairs are counted for agreeing coordinates and
-       each class's best one is confirmed on full sets. Links give components.
-    4. Lists whose members now lie in several components are compared in full across components, and what agrees on
-       enough coordinates is confirmed. Two classes in one component need no more comparing, as components are what is
-       asked for: a group of n near copies takes about n comparisons and not n^2.
+    2. Each class is posted under the rarest of its coordinate values (``posting_lists``).
+    3. Of each list the member that shares the most with others is the pivot, and every member is compared with it on
+       full sets: for a text and its edited copies that is one comparison per copy. Links give components.
+    4. The lists of one pivot are one group. Where its members still lie in several components, they are compared
+       across components by what sets them apart from the pivot (``cross_links``). Two classes in one component need no
+       more comparing, as components are what is asked for.
 
     The only loss is chance: a linked pair whose signatures agree on fewer than ``least_matches`` coordinates.
 
@@ -250,37 +260,23 @@ def near_duplicates(
         F.min("id").cast("bigint").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")
     )
     classes = held(classes)
-    posted = held(posting_lists(classes, coordinates, least_matches))
-
+    posted = held(posting_lists(classes, least_matches))
     lists = posted.groupBy("key").agg(
-        F.count(F.lit(1)).alias("c"),
-        F.min("rep").alias("pivot"),
-        F.max("rep").alias("last"),
-        F.bit_xor(F.xxhash64("rep")).alias("x"),
+        F.max(F.struct("shared", -F.col("rep"))).alias("top"), F.count(F.lit(1)).alias("c")
     )
-    lists = lists.where("c >= 2").groupBy("c", "pivot", "last", "x").agg(F.min("key").alias("key"))
-    lists = held(lists.select("key", "pivot"))
-    posted = written(posted.join(lists, "key"), "listed", few_files=True)
-
-    side = classes.select(F.col("rep"), F.col("n"), F.col("sig"))
-    stars = posted.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    stars = stars.join(side.toDF("a", "n_a", "sig_a"), "a").join(side.toDF("b", "n_b", "sig_b"), "b")
-    agree = F.size(F.array_intersect("sig_a", "sig_b")).alias("agree")
-    stars = stars.where(_matches(least_matches, percent)).select("a", "b", agree)
-    best = stars.groupBy("a").agg(F.max(F.struct("agree", -F.col("b"))).alias("top"))
-    best = held(best.select("a", (-F.col("top.col2")).alias("b")))
-    links = written(confirm(best, docs, id_col, text_col, percent, words), "links", TEXT_ROWS, few_files=True)
-    first = components(links)
-
-    labelled = posted.join(first.withColumnRenamed("node", "rep"), "rep", "left")
-    labelled = held(labelled.select("key", "rep", F.coalesce("root", "rep").alias("label")))
-    spread = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-    spread = held(spread.where("least <> most").select("key"))
-    members = labelled.join(spread, "key").join(side, "rep")
-    members = held(members)
-    pairs = cross_pairs(members, least_matches, percent, block).join(best, ["a", "b"], "left_anti")
-    pairs = written(pairs, "cross", few_files=True)
-    more = written(confirm(pairs, docs, id_col, text_col, percent, words), "links", TEXT_ROWS, few_files=True)
+    lists = held(lists.where("c >= 2").select("key", (-F.col("top.col2")).alias("b")))
+    stars = posted.join(lists, "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    stars = written(stars, "stars", few_files=True)
+    stars = written(differences(stars, docs, id_col, text_col, words), "differences", TEXT_ROWS, few_files=True)
+    linked = similar(F.col("n_a"), F.col("n_b"), F.octet_length("apart") / 8, percent)
+    first = components(stars.where(linked))
+
+    members = stars.select(F.col("b").alias("pivot"), F.col("a").alias("rep"), F.col("n_a").alias("n"), "apart")
+    pivots = stars.groupBy(F.col("b").alias("pivot")).agg(F.min("n_b").alias("n"))
+    pivots = pivots.select("pivot", F.col("pivot").alias("rep"), "n", F.lit(b"").alias("apart"))
+    members = members.union(pivots).join(first.withColumnRenamed("node", "rep"), "rep", "left")
+    members = members.select("pivot", "rep", F.coalesce("root", "rep").alias("label"), "n", "apart")
+    more = written(cross_links(members, percent, block), "links", TEXT_ROWS, few_files=True)
     for end in ("a", "b"):
         own = first.select(F.col("node").alias("of"), F.col("root").alias("to"))
         more = more.join(own, F.col(end) == F.col("of"), "left")
