@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from namewright.llm import exact_dedup, minhash, packing, quality, quotes, substring_dedup, url_filter
+from namewright.llm import exact_dedup, minhash, packing, pii, quality, quotes, sentencepieces, substring_dedup, url_filter
 
-_MODULES = (substring_dedup, minhash, url_filter, exact_dedup, packing, quotes, quality)
+_MODULES = (substring_dedup, minhash, pii, url_filter, exact_dedup, packing, sentencepieces, quotes, quality)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
