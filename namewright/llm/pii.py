@@ -109,10 +109,14 @@ def variants(text: str, spans: list[tuple[int, int, str]]) -> tuple[str, list[tu
 
 def training_texts(docs: DataFrame, id_col: str, text_col: str, n_docs: int, chars: int) -> list[str]:
     """Bounded pieces of texts around the first digit or @, from the documents whose hashed ids are smallest."""
-    near = docs.select(F.to_json(F.struct(quoted(id_col))).alias("id"), text_or_empty(text_col).alias("text"))
+    near = docs.select(F.xxhash64(F.to_json(F.struct(quoted(id_col)))).alias("h"), text_or_empty(text_col).alias("text"))
     near = near.withColumn("at", F.regexp_instr("text", F.lit("[0-9@]"))).where("at > 0")
+    smallest = [r.h for r in near.select("h").orderBy("h").limit(n_docs).collect()]
+    if not smallest:
+        return []
     piece = F.substring("text", F.greatest(F.lit(1), F.col("at") - 160), F.lit(chars)).alias("piece")
-    rows = near.select(F.xxhash64("id").alias("h"), piece).orderBy("h", "piece").limit(n_docs).collect()
+    rows = near.where(F.col("h") <= smallest[-1]).select("h", piece).limit(2 * n_docs).collect()
+    rows = sorted(set(rows))[:n_docs]
     return [r.piece for r in rows]
 
 
