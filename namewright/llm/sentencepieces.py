@@ -251,22 +251,22 @@ def words_ids(words: list[str], path: str | None = None) -> Iterator[tuple[str,
             yield word, tuple(row[width - count :])
 
 
-def encode_batch(texts: list[str | None], known: dict[str, tuple[int, ...]], path: str | None = None) -> Iterator[list[int]]:
+def encode_batch(texts: list[str | None], known: dict[str, tuple[int, ...]], path: str | None = None) -> Iterator[np.ndarray]:
     """``encode`` for several texts, whose new words are searched together first. A null gives no ids."""
     pieces = load_pieces(path)
     if len(known) >= REMEMBERED:
         known.clear()
     if not pieces.words_apart:
-        yield from (encode(text or "", pieces, known) for text in texts)
+        yield from (np.array(encode(text or "", pieces, known), np.int32) for text in texts)
         return
     words = [None if SPACE in (text or "") else WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
     new = set().union(*(own for own in words if own)).difference(known)
     known.update(words_ids([w for w in new if len(w) <= SHORT_WORD], path))
     for text, own in zip(texts, words, strict=True):
         try:
-            yield list(chain.from_iterable(map(known.__getitem__, own)))
+            yield np.fromiter(chain.from_iterable(map(known.__getitem__, own)), np.int32)
         except (KeyError, TypeError):  # a long word, or the alphabet's blank in the text
-            yield encode(text, pieces, known)
+            yield np.array(encode(text, pieces, known), np.int32)
 
 
 def encode(text: str, pieces: Pieces, known: dict[str, tuple[int, ...]]) -> list[int]:
@@ -339,7 +339,7 @@ def encode_documents(
                 part = batch.slice(begin, 500)
                 texts = part.column("text").to_pylist()
                 found = encode_batch(texts, known, model_path)
-                rows = [None if t is None else np.array(ids, np.int32) for t, ids in zip(texts, found, strict=True)]
+                rows = [None if t is None else ids for t, ids in zip(texts, found, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(rows, pa.list_(pa.int32()))], ["id", "ids"])
 
     schema = f"id {source.schema['id'].dataType.simpleString()}, ids array<int>"
@@ -367,13 +367,16 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load_pieces()
         for batch in batches:
-            texts = [decode(ids or (), pieces) for ids in batch.column("ids").to_pylist()]
-            sums = [pa.array([zlib.crc32(x) for x in column], pa.int64()) for column in (
-                [np.array(ids.as_py() or (), "<u4").tobytes() for ids in batch.column("ids")],
-                [text.encode() for text in texts],
-            )]
-            n = batch.column("ids").value_lengths().fill_null(0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n, *sums], ["doc_id", "n_ids", "ids_crc32", "decoded_crc32"])
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                n, ids_crc, text_crc = [], [], []
+                for ids in part.column("ids"):
+                    own = ids.values.to_numpy() if ids.is_valid else np.zeros(0, np.int32)
+                    n.append(len(own))
+                    ids_crc.append(zlib.crc32(own.astype("<u4").tobytes()))
+                    text_crc.append(zlib.crc32(decode(own.tolist(), pieces).encode()))
+                columns = [part.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, ids_crc, text_crc))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_ids", "ids_crc32", "decoded_crc32"])
 
     return encoded.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, decoded_crc32 long")
 
