@@ -53,14 +53,14 @@ def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
     return fits(*df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_width(df)), F.lit(0))).first(), limits)
 
 
-def hot_hashes(rows: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS) -> list[int]:
+def hot_hashes(rows: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS, key_hash: Column | None = None) -> list[int]:
     """Hashes of the keys that own at least ``hot_rows`` rows, ``hot_keys`` of them at most.
 
     One pass over the key columns with frequent-items sketches of fixed size, merged in two levels: nothing is shuffled
     but sketches. The default size finds every key with a 2,800th of the rows; one it misses is slower, never wrong.
     Null keys hash as well, so a pile of nulls is hot like any other key.
     """
-    hashed = rows.select(F.xxhash64(*on).alias("__h"), F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("__m"))
+    hashed = rows.select((F.xxhash64(*on) if key_hash is None else key_hash).alias("__h"), F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("__m"))
     size = limits.tracked_keys
     partial = hashed.groupBy("__m").agg(F.expr(f"approx_top_k_accumulate(__h, {size})").alias("__sketch"))
     merged = partial.agg(F.expr(f"approx_top_k_combine(__sketch, {size})").alias("__sketch"))
@@ -68,6 +68,12 @@ def hot_hashes(rows: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS)
     return [entry["item"] for entry in top or [] if entry["count"] >= limits.hot_rows]
 
 
+def _key_hash(rows: DataFrame, lookup: DataFrame, on: list[str]) -> Column:
+    """The hash of the key in the type both sides have in common: an int and the same bigint hash differently."""
+    common = rows.select(*on).limit(0).union(lookup.select(*on).limit(0)).schema if not rows.isStreaming else rows.schema
+    return F.xxhash64(*[F.col(k).cast(common[k].dataType) for k in on])
+
+
 def _join(rows: DataFrame, lookup: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
     renamed = lookup.withColumnsRenamed({k: f"__key_{k}" for k in on})
     pairs = [(rows[k], renamed[f"__key_{k}"]) for k in on]
@@ -97,10 +103,11 @@ def lookup_join(
         lookup = settle(lookup, "lookup")
     if settled_fits(lookup, limits):
         return _join(rows, F.broadcast(lookup.df), on, how, null_safe)
-    hot = [] if rows.isStreaming else hot_hashes(rows, on, limits)
+    hashed = _key_hash(rows, lookup.df, on)
+    hot = [] if rows.isStreaming else hot_hashes(rows, on, limits, hashed)
     if not hot:
         return _join(rows, lookup.df, on, how, null_safe)
-    is_hot = F.xxhash64(*on).isin(hot)
+    is_hot = hashed.isin(hot)
     spread = _join(rows.filter(~is_hot), lookup.df.filter(~is_hot), on, how, null_safe)
     pinned = _join(rows.filter(is_hot), F.broadcast(lookup.df.filter(is_hot)), on, how, null_safe)
     return spread.unionByName(pinned)

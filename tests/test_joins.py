@@ -75,3 +75,15 @@ def test_drop_known(spark, skewed, limits):
     existing = spark.createDataFrame([("hot",), ("hot",), (None,), ("k1",)], "key string")
     left = drop_known(skewed, existing, ["key"], limits)
     assert same(left, skewed.filter("key IS NULL OR key NOT IN ('hot', 'k1')"))
+
+
+@ALL_LIMITS
+@pytest.mark.parametrize("left,right", [("int", "bigint"), ("int", "string"), ("date", "timestamp")])
+def test_unlike_key_types_find_each_other(spark, left, right, limits):
+    number = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).cast("int")
+    key = F.date_add(F.lit("2024-01-01").cast("date"), number) if left == "date" else number
+    data = spark.range(600).select("id", key.alias("key")).repartition(5)
+    values = data.select(F.col("key").cast(right).alias("key")).distinct().withColumn("value", F.lit("v"))
+    joined = lookup_join(data, values, ["key"], limits=limits)
+    assert joined.count() == 600
+    assert joined.where("value = 'v'").count() == 600
