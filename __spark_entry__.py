@@ -246,7 +246,14 @@ def insert_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return st.table(spark, sf_dir, "customer").select("c_custkey", random_id("i:").alias("id"))
+    """The form of a drawn id for every customer; the draw itself is random."""
+    drawn = st.table(spark, sf_dir, "customer").select("c_custkey", random_id("i:").alias("id"))
+    return drawn.select(
+        "c_custkey",
+        F.substring("id", 1, 2).alias("prefix"),
+        F.length("id").alias("id_length"),
+        F.col("id").rlike("^i:[0-9a-f]{8}$").alias("is_hex"),
+    )
 
 
 # Metrics --------------------------------------------------------------------------------------------------------------
@@ -773,6 +780,7 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN count(*) FILTER (WHERE event_type = 'error') / count(*) > 0.25 THEN 'DEGRADED'
                         ELSE 'OK' END AS status
             FROM events GROUP BY 1""",
+        "random_ids": "SELECT c_custkey, 'i:' AS prefix, 10 AS id_length, true AS is_hex FROM customer",
         "flatten_props": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
         "index_documents": """
             SELECT p_name || ' ' || p_brand AS _id, p_name || ' ' || p_brand AS institution, p_partkey, p_type, p_size
