@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from namewright import standins as st
 from namewright.functions import random_id, stable_id
 from namewright.operators import duplicates, identity, mapping, metrics, reconcile
+from namewright.plans.joins import Limits
 from namewright.plans import run
 from namewright.plans.shared import fresh_path
 from namewright.sources import documents, mapping_csv, tables
@@ -73,6 +74,31 @@ def mapping_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mapping_chains_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chains of up to 100 hops, part to next part; every seventh part is also mapped to itself, which the link outdoes."""
+    key = F.col("p_partkey")
+    name = F.lpad(key.cast("string"), 12, "0")
+    after = F.when(key % 100 == 99, name).otherwise(F.lpad((key + 1).cast("string"), 12, "0"))
+    part = st.table(spark, sf_dir, "part")
+    links = part.select(name.alias("original"), after.alias("normalized"))
+    return mapping.resolve_chains(links.union(part.filter(key % 7 == 0).select(name, name)))
+
+
+def mapping_load_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of files of unlike size with repeated originals; the last line in the order of the files stands."""
+    path = fresh_path(spark, "mapping-folder")
+    part = st.table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    line = F.concat_ws(",", F.concat(F.lit("name "), (key % 50).cast("string")), F.concat(F.lit("to "), key.cast("string")))
+    lines = part.select(key, line.alias("value"))
+    for name, rows in (("a", key % 10 == 0), ("b", key % 10 < 9), ("c", key % 10 == 9)):
+        own = lines.filter(rows & (F.lit(name == "a") | (key % 10 > 0))).repartition(1).sortWithinPartitions("p_partkey")
+        own.select("value").write.text(f"{path}/{name}")
+    rows = mapping_csv.load_mapping(spark, f"{path}/*", multi_line=False, header=False)
+    accepted, _ = mapping_csv.split_rejects(rows)
+    return mapping.upsert(None, accepted.select("original", "normalized", "_ord"), ["original"], "_ord")
+
+
 # Canonicalisation -----------------------------------------------------------------------------------------------------
 
 
@@ -163,25 +189,45 @@ def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Duplicates and keys --------------------------------------------------------------------------------------------------
 
 
+#: Bounds under which the tables of a test already take the ways of large ones.
+_TIGHT = Limits(broadcast_rows=10, broadcast_bytes=1_000, hot_rows=1_000)
+
+
 def dup_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = st.table(spark, sf_dir, "documents")
-    groups = duplicates.duplicate_groups(docs, "text", id_col="doc_id")
+    groups = duplicates.duplicate_groups(docs, "text", id_col="doc_id", limit=100)
     ids = F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")
     return groups.withColumn("ids", ids)
 
 
 def dup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = st.table(spark, sf_dir, "part")
-    return duplicates.duplicates_report(part, columns=["p_name", "p_brand", "p_type", "p_size"])
+    return duplicates.duplicates_report(part, columns=["p_name", "p_brand", "p_type", "p_size"], limit=100)
+
+
+def dup_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every group of every column of orders; tight bounds, so groups are joined by shuffle and hot values apart."""
+    found = duplicates.duplicates_report(
+        st.table(spark, sf_dir, "orders"), keys=["o_orderkey"], id_col="o_orderkey", limits=_TIGHT
+    )
+    return found.groupBy("column", "value", "count").agg(
+        F.sum(F.size("ids")).alias("n_ids"), F.sum(F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("sum_ids")
+    )
+
+
+def dup_records_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose text occurs again, without an id to order by and by shuffle."""
+    docs = st.table(spark, sf_dir, "documents")
+    return duplicates.duplicate_records(docs, columns=["text"], limits=_TIGHT)
 
 
 def dup_report_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every column of orders but its key."""
-    return duplicates.duplicates_report(st.table(spark, sf_dir, "orders"), keys=["o_orderkey"])
+    return duplicates.duplicates_report(st.table(spark, sf_dir, "orders"), keys=["o_orderkey"], limit=100)
 
 
 def dup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicates.duplicate_records(st.table(spark, sf_dir, "documents"), columns=["text"], id_col="doc_id")
+    return duplicates.duplicate_records(st.table(spark, sf_dir, "documents"), columns=["text"], id_col="doc_id", limit=100)
 
 
 def unique_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,6 +464,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         mapping_split_pairs,
         mapping_upsert,
         mapping_chains,
+        mapping_chains_long,
+        mapping_load_folder,
         canonicalise,
         canonicalise_folded,
         edge_canonicalise,
@@ -432,6 +480,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         replace_table,
         dup_documents,
         dup_report,
+        dup_report_all,
+        dup_records_all,
         dup_report_keys,
         dup_records,
         unique_columns,
@@ -538,6 +588,15 @@ WITH records AS (
 """
 
 
+_ORDER_COLUMNS = [
+    ("o_custkey", "CAST(o_custkey AS VARCHAR)"),
+    ("o_orderstatus", "lower(o_orderstatus)"),
+    ("o_totalprice", "CAST(o_totalprice AS VARCHAR)"),
+    ("o_orderdate", "CAST(o_orderdate AS VARCHAR)"),
+    ("o_orderpriority", "lower(o_orderpriority)"),
+]
+
+
 def _dup_columns(table: str, columns: list[str]) -> str:
     """Reported groups of each column, a plain query per column."""
     parts = []
@@ -600,6 +659,17 @@ def oracle_sql() -> dict[str, str]:
                 SELECT start, at_ // 2 FROM walk WHERE at_ > 0 AND at_ % 10 <> 3)
             SELECT concat('n', CAST(start AS VARCHAR)) AS original, concat('n', CAST(at_ AS VARCHAR)) AS normalized
             FROM walk WHERE at_ = 0 OR at_ % 10 = 3""",
+        "mapping_chains_long": """
+            WITH keys AS (SELECT p_partkey AS k FROM part), tops AS (
+                SELECT k, min(CASE WHEN e % 100 = 99 THEN e ELSE e + 1 END) AS last FROM keys JOIN (
+                    SELECT p_partkey AS e FROM part WHERE p_partkey % 100 = 99
+                        OR p_partkey + 1 NOT IN (SELECT p_partkey FROM part)) ON e >= k GROUP BY k)
+            SELECT lpad(CAST(k AS VARCHAR), 12, '0') AS original, lpad(CAST(last AS VARCHAR), 12, '0') AS normalized
+            FROM tops""",
+        "mapping_load_folder": """
+            SELECT 'name ' || (p_partkey % 50) AS original, 'to ' || max_by(p_partkey, (CASE p_partkey % 10
+                WHEN 0 THEN 0 WHEN 9 THEN 2 ELSE 1 END) * 1000000000000 + p_partkey) AS normalized
+            FROM part GROUP BY 1""",
         "canonicalise": f"WITH {_NAMES} SELECT * FROM canonical",
         "stream_canonicalise": f"WITH {_NAMES} SELECT * FROM canonical",
         "canonicalise_folded": f"""
@@ -668,14 +738,17 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dup_report_keys": _dup_columns(
             "orders",
-            [
-                ("o_custkey", "CAST(o_custkey AS VARCHAR)"),
-                ("o_orderstatus", "lower(o_orderstatus)"),
-                ("o_totalprice", "CAST(o_totalprice AS VARCHAR)"),
-                ("o_orderdate", "CAST(o_orderdate AS VARCHAR)"),
-                ("o_orderpriority", "lower(o_orderpriority)"),
-            ],
+            _ORDER_COLUMNS,
+        ),
+        "dup_report_all": " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", {text} AS value, count(*) AS count, count(*) AS n_ids, sum(o_orderkey) AS sum_ids
+            FROM orders WHERE {c} IS NOT NULL GROUP BY 2 HAVING count(*) > 1"""
+            for c, text in _ORDER_COLUMNS
         ),
+        "dup_records_all": """
+            SELECT 'text' AS dup_column, lower(text) AS dup_value, n AS dup_count, * EXCLUDE (n) FROM (
+                SELECT *, count(*) OVER (PARTITION BY lower(text)) AS n FROM documents WHERE text IS NOT NULL)
+            WHERE n > 1""",
         "unique_columns": " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, count(DISTINCT {c}) = count(*) AS is_key FROM customer"
             for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")

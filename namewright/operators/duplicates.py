@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,15 +10,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from namewright.functions import SHORT_KEY_CHARS, dup_key, short_key
+from namewright.plans.joins import DEFAULT_LIMITS, Limits, lookup_join
 from namewright.plans.shared import Settled, settle
 from namewright.sources.tables import require
 
 # Ids in one list; a group with more of them gets several lists.
 IDS_PER_LIST = 10_000
 
-# More groups than this are joined by shuffle. The broadcast holds a key of 71 characters at most for each.
-_BROADCAST_GROUPS = 100_000
-
 
 def _checked_columns(df: DataFrame, columns: list[str] | None, keys: list[str]) -> list[str]:
     require(df, [*(columns or []), *keys])
@@ -32,54 +31,55 @@ def _is_long(key: Column) -> Column:
     return F.length(key) > SHORT_KEY_CHARS
 
 
-def _top_groups(df: DataFrame, values: dict[str, Column], limit: int) -> Settled:
-    """The ``limit`` largest groups of every column as (__column, __key, __count, __rank).
+def _groups(df: DataFrame, values: dict[str, Column], limit: int | None) -> Settled:
+    """The groups of every column, or the ``limit`` largest, as (__column, __key, __count).
 
     All columns are counted in one pass, combined map-side, so a value owning a third of the rows sends one row a
-    task; the top-k filter also runs before its shuffle. Equal counts are ordered by key. The few groups found are
+    task; the top-k filter also runs before its shuffle. Equal counts are ordered by key. The groups found are
     settled: ids, texts and records all start from them, and the table is not counted again for each.
     """
     keyed = df.select(*[short_key(v).alias(c) for c, v in values.items()])
     pairs = keyed.unpivot([], list(values), "__column", "__key").filter(F.col("__key").isNotNull())
     counts = pairs.groupBy("__column", "__key").agg(F.count(F.lit(1)).alias("__count")).filter("__count > 1")
-    order = W.partitionBy("__column").orderBy(F.col("__count").desc(), "__key")
-    return settle(
-        counts.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= limit),
-        "groups",
-        long_keys=F.count_if(_is_long(F.col("__key"))),
-    )
+    if limit is not None:
+        order = W.partitionBy("__column").orderBy(F.col("__count").desc(), "__key")
+        counts = counts.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= limit).drop("__rank")
+    return settle(counts, "groups", long_keys=F.count_if(_is_long(F.col("__key"))))
 
 
-def _members(df: DataFrame, values: dict[str, Column], groups: DataFrame, limit: int) -> DataFrame:
-    """Every row of ``df`` once for each group it belongs to. Rows do not move: the groups are bounded by ``limit``."""
+def _members(df: DataFrame, values: dict[str, Column], groups: Settled, limits: Limits) -> DataFrame:
+    """Every row of ``df`` once for each group it belongs to.
+
+    Groups that fit a broadcast come to the rows; more of them are joined by shuffle, rows of hot values apart.
+    """
     pairs = F.array(*[F.struct(F.lit(c).alias("__column"), short_key(v).alias("__key")) for c, v in values.items()])
-    side = F.broadcast(groups) if limit * len(values) <= _BROADCAST_GROUPS else groups
-    return df.select("*", F.inline(pairs)).join(side, ["__column", "__key"])
+    each = df.select("*", F.inline(pairs)).filter(F.col("__key").isNotNull())
+    return lookup_join(each, groups, ["__column", "__key"], limits=limits).filter(F.col("__count").isNotNull())
 
 
 def _value_of_column(values: dict[str, Column]) -> Column:
     return F.coalesce(*[F.when(F.col("__column") == c, v) for c, v in values.items()])
 
 
-def _with_values(df: DataFrame, values: dict[str, Column], groups: Settled, limit: int) -> DataFrame:
+def _with_values(df: DataFrame, values: dict[str, Column], groups: Settled, limits: Limits) -> DataFrame:
     """Add ``__value``, the full text of the group. Only digest keys need a look at the rows for it."""
     if groups.measures["long_keys"] == 0:
         return groups.df.withColumn("__value", F.col("__key"))
     texts = (
-        _members(df, values, groups.df.filter(_is_long(F.col("__key"))), limit)
-        .groupBy("__column", "__rank")
+        _members(df, values, replace(groups, df=groups.df.filter(_is_long(F.col("__key")))), limits)
+        .groupBy("__column", "__key")
         .agg(F.min(_value_of_column(values)).alias("__text"))
     )
-    return groups.df.join(texts, ["__column", "__rank"], "left").withColumn("__value", F.coalesce("__text", "__key"))
+    return groups.df.join(texts, ["__column", "__key"], "left").withColumn("__value", F.coalesce("__text", "__key"))
 
 
 def _id_lists(members: DataFrame, id_col: str, per_list: int) -> DataFrame:
-    """The ids of each group in lists of about ``per_list``, as (__column, __rank, part, ids).
+    """The ids of each group in lists of about ``per_list``, as (__column, __key, part, ids).
 
     Ids are spread over the lists of their group by hash. Copies of one id are counted first and then cut into runs, so
     that neither a hot group nor a hot id has to fit one task or one list.
     """
-    copies = members.groupBy("__column", "__rank", "__count", F.col(f"`{id_col}`").alias("__id")).agg(
+    copies = members.groupBy("__column", "__key", "__count", F.col(f"`{id_col}`").alias("__id")).agg(
         F.count(F.lit(1)).alias("__copies")
     )
     last_run = F.floor((F.col("__copies") - 1) / per_list)
@@ -87,8 +87,8 @@ def _id_lists(members: DataFrame, id_col: str, per_list: int) -> DataFrame:
     length = F.least(F.lit(per_list), F.col("__copies") - F.col("__run") * per_list).cast("int")
     lists = F.ceil(F.col("__count") / per_list)
     part = F.pmod(F.xxhash64("__id", "__run"), lists).cast("int")
-    spread = runs.select("__column", "__rank", part.alias("part"), F.array_repeat("__id", length).alias("__run_ids"))
-    return spread.groupBy("__column", "__rank", "part").agg(
+    spread = runs.select("__column", "__key", part.alias("part"), F.array_repeat("__id", length).alias("__run_ids"))
+    return spread.groupBy("__column", "__key", "part").agg(
         F.sort_array(F.flatten(F.collect_list("__run_ids"))).alias("ids")
     )
 
@@ -99,30 +99,31 @@ def duplicates_report(
     columns: list[str] | None = None,
     id_col: str | None = None,
     case_insensitive: bool = True,
-    limit: int = 100,
+    limit: int | None = None,
     ids_per_list: int = IDS_PER_LIST,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Values that occur more than once, for every column that is no key: (column, value, count).
 
-    ``limit`` groups per column, the largest first. With ``id_col`` also (part, ids): the ids of the group, in several
+    All of them, or with ``limit`` the so many largest of each column. With ``id_col`` also (part, ids): the ids of the group, in several
     lists for a group of more than ``ids_per_list`` rows; together they are all its ids.
     """
     checked = _checked_columns(df, columns, keys or [])
     if not checked:
         raise ValueError("no column to check")
     values = _values(df, checked, case_insensitive)
-    groups = _top_groups(df, values, limit)
-    report = _with_values(df, values, groups, limit)
+    groups = _groups(df, values, limit)
+    report = _with_values(df, values, groups, limits)
     shown = [F.col("__column").alias("column"), F.col("__value").alias("value"), F.col("__count").alias("count")]
     if id_col is None:
         return report.select(*shown)
     require(df, [id_col])
-    ids = _id_lists(_members(df, values, groups.df, limit), id_col, ids_per_list)
-    return report.join(ids, ["__column", "__rank"]).select(*shown, "part", "ids")
+    ids = _id_lists(_members(df, values, groups, limits), id_col, ids_per_list)
+    return report.join(ids, ["__column", "__key"]).select(*shown, "part", "ids")
 
 
 def duplicate_groups(
-    df: DataFrame, column: str, id_col: str | None = None, case_insensitive: bool = True, limit: int = 100
+    df: DataFrame, column: str, id_col: str | None = None, case_insensitive: bool = True, limit: int | None = None
 ) -> DataFrame:
     """The report for one column."""
     return duplicates_report(df, columns=[column], id_col=id_col, case_insensitive=case_insensitive, limit=limit)
@@ -134,19 +135,21 @@ def duplicate_records(
     columns: list[str] | None = None,
     id_col: str | None = None,
     case_insensitive: bool = True,
-    limit: int = 100,
+    limit: int | None = None,
     ordered: bool = True,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """The full records of the reported groups: (dup_column, dup_value, dup_count) and the columns of the row.
 
-    Ordered by column, group and id; the id is part of the sort key, so the sort splits a hot group over many tasks.
+    Ordered by column, size of the group (largest first), value and id. The id, or without one a hash of the row, is
+    part of the sort key, so the sort splits a hot group over many tasks.
     """
     checked = _checked_columns(df, columns, keys or [])
     values = _values(df, checked, case_insensitive)
-    members = _members(df, values, _top_groups(df, values, limit).df, limit)
+    members = _members(df, values, _groups(df, values, limit), limits)
     if ordered:
-        by = [f"`{id_col}`"] if id_col else []
-        members = members.orderBy("__column", "__rank", *by)
+        by = F.col(f"`{id_col}`") if id_col else F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+        members = members.orderBy("__column", F.col("__count").desc(), "__key", by)
     return members.select(
         F.col("__column").alias("dup_column"),
         _value_of_column(values).alias("dup_value"),

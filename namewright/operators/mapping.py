@@ -14,9 +14,14 @@ from namewright.sources.tables import require
 
 
 def last_per_key(rows: DataFrame, key: list[str], order_col: str) -> DataFrame:
-    """One row per key, the last by ``order_col``. Combines map-side, so a hot key costs one row per task."""
-    rest = [c for c in rows.columns if c not in key]
-    last = F.max_by(F.struct(*rest), order_col).alias("__last")
+    """One row per key, the last by ``order_col``. Combines map-side, so a hot key costs one row per task.
+
+    Of rows of the same order the greatest content stands, so runs agree. A null order fails the job: such a row has no
+    place among the others.
+    """
+    rest = [c for c in rows.columns if c not in [*key, order_col]]
+    order = F.coalesce(F.col(order_col), F.raise_error(F.lit(f"{order_col} is null"))).alias(order_col)
+    last = F.max(F.struct(order, *rest)).alias("__last")
     return rows.groupBy(*key).agg(last).select(*key, "__last.*").select(*rows.columns)
 
 
@@ -86,30 +91,37 @@ def apply_mapping(
     )
 
 
-def resolve_chains(mapping: DataFrame, max_hops: int = 32, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Follow a -> b -> c to its end: every original gets the last name of its chain.
+def resolve_chains(mapping: DataFrame, max_hops: int | None = None, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """Follow a -> b -> c to its end: every original gets the last name of its chain, once.
 
-    Each round looks the targets up in the table itself and so doubles the hops covered. Raises when a chain is longer
-    than ``max_hops`` or runs in a circle. A name mapped to itself is an end.
+    Each round looks the targets up in the table itself and so doubles the hops covered. Of several targets of a name
+    the greatest stands, itself included; a name mapped to itself is an end. Raises when names run in a circle, which a
+    chain of more hops than there are links does, and when a chain has more than ``max_hops`` hops, if given.
     """
-    links = _unique_targets(mapping).filter(~F.col("original").eqNullSafe(F.col("normalized")))
-    ends = mapping.filter(F.col("original") == F.col("normalized")).select("original", "normalized").distinct()
-    table = settle(links, "chains")
-    covered = 1
+    targets = _unique_targets(mapping)
+    own = F.col("original").eqNullSafe(F.col("normalized"))
+    ends = targets.filter(own)
+    table = settle(targets.filter(~own).withColumn("__hops", F.lit(1).cast("bigint")), "chains")
+    links = table.measures["rows"]
     while True:
-        step = table.df.select(F.col("original").alias("normalized"), F.col("normalized").alias("__next"))
+        step = table.df.select(
+            F.col("original").alias("normalized"), F.col("normalized").alias("__next"), F.col("__hops").alias("__more")
+        )
         looked = lookup_join(table.df, replace(table, df=step), ["normalized"], limits=limits)
         onward = looked.select(
             "original",
-            F.coalesce("__next", "normalized").alias("normalized"),
-            F.col("__next").isNotNull().alias("__moved"),
+            F.when(F.col("__more").isNull(), F.col("normalized")).otherwise(F.col("__next")).alias("normalized"),
+            (F.col("__hops") + F.coalesce("__more", F.lit(0))).alias("__hops"),
+            F.col("__more").isNotNull().alias("__moved"),
         )
         moved = F.count_if("__moved")
         circles = F.count_if(F.col("original") == F.col("normalized"))
-        settled = settle(onward, "chains", moved=moved, circles=circles)
+        longest = F.coalesce(F.max("__hops"), F.lit(0))
+        settled = settle(onward, "chains", moved=moved, circles=circles, longest=longest)
         table = replace(settled, df=settled.df.drop("__moved"))
-        if table.measures["moved"] == 0:
-            return table.df.unionByName(ends)
-        covered *= 2
-        if covered >= 2 * max_hops or table.measures["circles"] > 0:
+        if table.measures["circles"] > 0 or table.measures["longest"] > links:
+            raise ValueError("mapping has a circle")
+        if max_hops is not None and table.measures["longest"] > max_hops:
             raise ValueError(f"mapping has a circle or a chain of more than {max_hops} hops")
+        if table.measures["moved"] == 0:
+            return table.df.drop("__hops").unionByName(ends)

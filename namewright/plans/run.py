@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from namewright.operators.duplicates import duplicates_report
 from namewright.operators.identity import assign_ids, enrich, ensure_columns, unify_ids
 from namewright.operators.mapping import apply_mapping, upsert
+from namewright.plans.shared import settle
 from namewright.sources.mapping_csv import load_mapping, split_rejects
 from namewright.sources.tables import load_table, require, table_exists, write_table
 
@@ -56,13 +57,16 @@ class RunReport:
         return all(step.success is not False for step in self.steps)
 
 
-def _load_mapping(spark: SparkSession, base: str, names: EntityTables, csv: str | None, report: StepReport) -> None:
+def _load_mapping(
+    spark: SparkSession, base: str, names: EntityTables, csv: str | None, multi_line: bool, report: StepReport
+) -> None:
+    """The file is parsed once; its rejected rows become the table ``<mapping>_rejects``, with their reasons."""
     if csv is None:
         report.rows = load_table(spark, base, names.mapping).count()
         report.details["skipped"] = ["no file given; the stored mapping stays"]
         return
-    accepted, rejected = split_rejects(load_mapping(spark, csv))
-    report.details["rejected"] = rejected.count()
+    accepted, rejected = split_rejects(settle(load_mapping(spark, csv, multi_line=multi_line), "mapping-file").df)
+    report.details["rejected"] = write_table(rejected, base, f"{names.mapping}_rejects")["rows"]
     target = load_table(spark, base, names.mapping) if table_exists(spark, base, names.mapping) else None
     updates = accepted.select("original", "normalized", "_ord")
     report.rows = write_table(upsert(target, updates, ["original"], "_ord"), base, names.mapping)["rows"]
@@ -163,19 +167,21 @@ def run_mode(
     as_of: Column | None = None,
     dry_run: bool = False,
     continue_on_error: bool = False,
+    multi_line: bool = True,
 ) -> RunReport:
     """Run the steps of a mode and report on each.
 
     Every step reads tables, writes a new version of its output and only then counts as done, so a failed step leaves
     the tables as they were. It also ends the run unless ``continue_on_error``; the steps after it are reported as not
-    run. With ``dry_run`` nothing is read or written.
+    run. With ``dry_run`` nothing is read or written. ``multi_line`` False lets Spark split a large mapping file, which
+    must then have no line breaks inside quotes.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode}; one of {', '.join(MODES)}")
     names = names or EntityTables()
     stamp = as_of if as_of is not None else F.current_timestamp()
     actions: dict[str, Callable[[StepReport], None]] = {
-        "load-mapping": lambda r: _load_mapping(spark, base, names, mapping_csv, r),
+        "load-mapping": lambda r: _load_mapping(spark, base, names, mapping_csv, multi_line, r),
         "apply-deduplication": lambda r: _apply(spark, base, names, stamp, r),
         "add-columns": lambda r: _add_columns(spark, base, names, r),
         "update-uuids": lambda r: _update_ids(spark, base, names, r),

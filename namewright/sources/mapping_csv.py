@@ -17,7 +17,8 @@ _JOINED_PAIR = r"^(.*?\p{Ll})(\p{Lu}.*)$"
 def read_mapping(spark: SparkSession, path: str, multi_line: bool = True, header: bool = True) -> DataFrame:
     """Read ``original,normalized`` records verbatim; outer blanks count. A malformed record lands in ``_corrupt``.
 
-    ``_ord`` grows in file order. With ``multi_line`` (line breaks inside quotes) a file is one task's work, which suits
+    ``_ord`` grows in the order of the file names and, within a file, of its lines: (file, block, position). Spark deals
+    files to tasks by size, so a row number alone would not follow that order. With ``multi_line`` (line breaks inside quotes) a file is one task's work, which suits
     curated mappings; switch it off for large files without such breaks, then they are split like any other input.
     """
     raw = (
@@ -32,7 +33,8 @@ def read_mapping(spark: SparkSession, path: str, multi_line: bool = True, header
         .option("columnNameOfCorruptRecord", "_corrupt")
         .csv(path)
     )
-    return raw.withColumn("_ord", F.monotonically_increasing_id())
+    place = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
+    return raw.withColumn("_ord", F.struct(*place))
 
 
 def repair_mapping(df: DataFrame) -> DataFrame:
