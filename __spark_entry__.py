@@ -420,6 +420,19 @@ def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.latest_buckets(spark, f"{out}/rows").withColumn("t", F.col("t").cast("timestamp_ntz"))
 
 
+def stream_throughput_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in five files that each span all the time, one a batch: most events come after newer ones."""
+    out = fresh_path(spark, "stream-throughput")
+    events = st.table(spark, sf_dir, "events")
+    events.repartition(5, "event_id").write.parquet(f"{out}/in")
+    arrivals = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    failed = F.col("event_type") == "error"
+    jobs.throughput_stream(
+        arrivals, "ts", failed, f"{out}/rows", f"{out}/checkpoint", "hour", compact_every=2
+    ).awaitTermination()
+    return jobs.latest_buckets(spark, f"{out}/rows").withColumn("t", F.col("t").cast("timestamp_ntz"))
+
+
 # Text corpora: these folders may be absent ---------------------------------------------------------------------------
 
 
@@ -506,6 +519,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_canonicalise,
         stream_insert_missing,
         stream_throughput,
+        stream_throughput_late,
     ]
     return {query.__name__: query for query in registered} | _corpus_queries()
 
@@ -610,6 +624,11 @@ def _dup_columns(table: str, columns: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+_HOURLY = """
+            SELECT date_trunc('hour', ts) AS t, count(*) AS count,
+                   count(*) FILTER (WHERE event_type = 'error') AS errors
+            FROM events GROUP BY 1"""
+
 _TABLES = (
     "benchmark conversations customer documents embeddings events labels lineitem nation orders pages part region "
     "supplier"
@@ -860,8 +879,6 @@ def oracle_sql() -> dict[str, str]:
             FROM part QUALIFY row_number() OVER (PARTITION BY p_name || ' ' || p_brand ORDER BY p_partkey DESC) = 1""",
         "list_tables": " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in _TABLES),
         "stream_insert_missing": "SELECT user_id, min(event_type) AS event_type FROM events GROUP BY 1",
-        "stream_throughput": """
-            SELECT date_trunc('hour', ts) AS t, count(*) AS count,
-                   count(*) FILTER (WHERE event_type = 'error') AS errors
-            FROM events GROUP BY 1""",
+        "stream_throughput": _HOURLY,
+        "stream_throughput_late": _HOURLY,
     } | _corpus_sql()

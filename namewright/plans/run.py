@@ -6,14 +6,13 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namewright.operators.duplicates import duplicates_report
 from namewright.operators.identity import assign_ids, enrich, ensure_columns, unify_ids
 from namewright.operators.mapping import apply_mapping, upsert
-from namewright.plans.shared import settle
+from namewright.plans.shared import path_exists, settle
 from namewright.sources.mapping_csv import load_mapping, split_rejects
 from namewright.sources.tables import load_table, require, table_exists, write_table
 
@@ -122,12 +121,10 @@ def _check(spark: SparkSession, base: str, names: EntityTables, report: StepRepo
 
 def run_log(spark: SparkSession, base: str) -> DataFrame:
     """One row per step ever run; the input of errors() and component_status()."""
-    try:
-        return spark.read.schema(RUN_LOG_FIELDS).json(f"{base}/{RUN_LOG}")
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = f"{base}/{RUN_LOG}"
+    if not path_exists(spark, path):
         return spark.createDataFrame([], RUN_LOG_FIELDS)
+    return spark.read.schema(RUN_LOG_FIELDS).json(path)
 
 
 def _append_log(spark: SparkSession, base: str, report: RunReport) -> None:

@@ -2,33 +2,72 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-_local_dirs: dict[str, str] = {}
+# Paths handed out inside the innermost released() block.
+_handed_out: ContextVar[list[str] | None] = ContextVar("handed_out", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only a local session without one gets a temporary folder."""
+    """The folder named by ``spark.checkpoint.dir``, which all executors must share."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="namewright-")
-    return _local_dirs[app]
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path on shared storage nobody has used yet."""
-    return f"{shared_dir(spark)}/namewright/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/namewright/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    paths = _handed_out.get()
+    if paths is not None:
+        paths.append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, at = _file_system(spark, path)
+    return files.exists(at)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none for a folder that does not exist."""
+    files, at = _file_system(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(at)] if files.exists(at) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block every folder that fresh_path() and settle() made in it.
+
+    What is built from those folders must be written elsewhere by then.
+    """
+    paths: list[str] = []
+    token = _handed_out.set(paths)
+    try:
+        yield
+    finally:
+        _handed_out.reset(token)
+        for path in paths:
+            delete_folder(spark, path)
 
 
 def row_width(df: DataFrame) -> Column:

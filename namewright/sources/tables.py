@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from namewright.plans.shared import write_measured
+from namewright.plans.shared import path_exists, write_measured
 
 TABLE_LOG = "table_log"
 TABLE_LOG_FIELDS = "name string, version bigint, path string, rows bigint, written_at timestamp"
@@ -33,23 +33,23 @@ def require(df: DataFrame, cols: Iterable[str], what: str = "table") -> None:
 
 
 def _read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    if not path_exists(spark, path):
+        return None
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
         return reader.parquet(path)
     except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
 
 def table_log(spark: SparkSession, base: str) -> DataFrame:
     """Every version ever written under ``base``."""
-    try:
-        return spark.read.schema(TABLE_LOG_FIELDS).json(f"{base}/{TABLE_LOG}")
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = f"{base}/{TABLE_LOG}"
+    if not path_exists(spark, path):
         return spark.createDataFrame([], TABLE_LOG_FIELDS)
+    return spark.read.schema(TABLE_LOG_FIELDS).json(path)
 
 
 def _latest(spark: SparkSession, base: str, name: str):

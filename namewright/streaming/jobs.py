@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,12 +10,15 @@ from pyspark.sql.types import TimestampType
 from namewright.operators.mapping import apply_mapping
 from namewright.operators.metrics import bucket_counts
 from namewright.operators.reconcile import rows_to_insert
+from namewright.plans.shared import delete_folder, folder_names, path_exists, released, settle
 
 Trigger = dict[str, object]
 
 # Take what is there and stop. For a recurring run: {"processingTime": "10 minutes"}.
 ONCE: Trigger = {"availableNow": True}
 
+BUCKET_FIELDS = "t timestamp, count bigint, errors bigint"
+
 
 def canonicalise_stream(
     stream: DataFrame,
@@ -42,19 +44,20 @@ def insert_missing_stream(
     """Append the rows of each batch whose key ``target`` (a Parquet folder) lacks.
 
     A batch that is repeated after a failure finds its rows already there and adds nothing, so no state is kept: the
-    target is the state.
+    target is the state. A batch is read once; what it settles on the way is gone when it is done, and a batch without
+    new keys leaves no file.
     """
     schema = stream.schema
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        try:
-            present = spark.read.schema(schema).parquet(target)
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            present = spark.createDataFrame([], schema)
-        rows_to_insert(present, batch, keys).write.mode("append").parquet(target)
+        with released(spark):
+            arrived = settle(batch, "batch")
+            there = path_exists(spark, target)
+            present = spark.read.schema(schema).parquet(target) if there else spark.createDataFrame([], schema)
+            missing = settle(rows_to_insert(present, arrived.df, keys), "missing")
+            if missing.measures["rows"] > 0:
+                missing.df.write.mode("append").parquet(target)
 
     writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
@@ -70,32 +73,71 @@ def throughput_stream(
     watermark: str = "10 minutes",
     final_only: bool = False,
     trigger: Trigger = ONCE,
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Keep bucket counts up to date in ``out``; read them with latest_buckets().
 
-    State holds the buckets within the watermark only; events later than that are dropped. Each batch writes the
-    buckets it changed to a folder of its own, so a repeated batch replaces what it wrote before. With ``final_only``
-    a bucket is written once, to ``out`` as plain Parquet, when the watermark has passed it.
+    Every event counts, however late: a batch writes the counts of its own events to a folder of its own, so there is no
+    state and no watermark, and a repeated batch replaces what it wrote before. Every ``compact_every`` batches the
+    folders before are summed into one.
+
+    With ``final_only`` a bucket is written once, to ``out`` as plain Parquet, when the ``watermark`` has passed it.
+    Only then are events dropped, those later than the watermark; dropped_late() tells of them.
     """
     # A watermark needs a time zone aware column.
     timed = events
     if not isinstance(events.schema[time_col].dataType, TimestampType):
         timed = events.withColumn(time_col, F.col(time_col).cast("timestamp"))
-    counts = bucket_counts(timed.withWatermark(time_col, watermark), time_col, failed, granularity)
 
     if final_only:
+        counts = bucket_counts(timed.withWatermark(time_col, watermark), time_col, failed, granularity)
         writer = counts.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         return writer.outputMode("append").trigger(**trigger).start()
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        bucket_counts(batch, time_col, failed, granularity).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        if batch_id % compact_every == compact_every - 1:
+            _compact(batch.sparkSession, out, batch_id - 1)
+
+    writer = timed.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Groups of late events that a ``final_only`` stream left out, in the progress reports that Spark still holds.
+
+    Spark counts them after its partial aggregation, so a group stands for one event or more. It keeps the newest
+    ``spark.sql.streaming.numRecentProgressUpdates`` reports; a listener that adds them up as they come sees all.
+    """
+    return sum(op.numRowsDroppedByWatermark for report in query.recentProgress for op in report.stateOperators)
+
+
+def _folders(spark: SparkSession, out: str) -> set[tuple[str, int]]:
+    """("batch", n): the counts of batch n; ("upto", n): the finished sum of all batches up to n."""
+    named = [name.split("=") for name in folder_names(spark, out) if name.startswith(("batch=", "upto="))]
+    found = {(kind, int(n)) for kind, n in named}
+    return {(kind, n) for kind, n in found if kind == "batch" or path_exists(spark, f"{out}/upto={n}/_SUCCESS")}
+
+
+def _summed(spark: SparkSession, out: str, found: set[tuple[str, int]]) -> DataFrame:
+    base = max((n for kind, n in found if kind == "upto"), default=-1)
+    counted = [f"{out}/{kind}={n}" for kind, n in found if (kind == "batch" and n > base) or (kind, n) == ("upto", base)]
+    counts = spark.read.schema(BUCKET_FIELDS).parquet(*counted) if counted else spark.createDataFrame([], BUCKET_FIELDS)
+    return counts.groupBy("t").agg(F.sum("count").alias("count"), F.sum("errors").alias("errors"))
+
 
-    writer = counts.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
-    return writer.outputMode("update").trigger(**trigger).start()
+def _compact(spark: SparkSession, out: str, last: int) -> None:
+    """Sum all batches up to ``last``. What an earlier sum covers goes, so a reader has until the next time to finish."""
+    found = {(kind, n) for kind, n in _folders(spark, out) if n <= last}
+    earlier = max((n for kind, n in found if kind == "upto" and n < last), default=-1)
+    if ("upto", last) not in found:
+        _summed(spark, out, found).write.mode("overwrite").parquet(f"{out}/upto={last}")
+    if path_exists(spark, f"{out}/upto={last}/_SUCCESS"):
+        for kind, n in found:
+            if n <= earlier and (kind, n) != ("upto", earlier):
+                delete_folder(spark, f"{out}/{kind}={n}")
 
 
 def latest_buckets(spark: SparkSession, out: str) -> DataFrame:
-    """The newest count of every bucket: (t, count, errors)."""
-    written = spark.read.option("basePath", out).parquet(out)
-    newest = F.max_by(F.struct("count", "errors"), "batch").alias("__newest")
-    return written.groupBy("t").agg(newest).select("t", "__newest.*")
+    """The count of every bucket so far: (t, count, errors)."""
+    return _summed(spark, out, _folders(spark, out))

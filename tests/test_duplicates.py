@@ -1,7 +1,7 @@
 from collections import Counter
 
 import pytest
-from helpers import plan, rows
+from helpers import SHUFFLED, TIGHT, plan, rows
 from pyspark.sql import functions as F
 
 from namewright.operators.duplicates import (
@@ -11,6 +11,7 @@ from namewright.operators.duplicates import (
     is_unique,
     key_columns,
 )
+from namewright.plans.joins import DEFAULT_LIMITS
 
 LONG = "Long text " * 20
 
@@ -129,3 +130,14 @@ def test_keys(spark):
 def test_one_repeat_among_many_is_found(spark):
     df = spark.range(20_000).select("id", F.greatest(F.col("id"), F.lit(1)).alias("nearly"))
     assert rows(key_columns(df)) == [("id", True), ("nearly", False)]
+
+
+@pytest.mark.parametrize("limits", [DEFAULT_LIMITS, SHUFFLED, TIGHT], ids=["small", "shuffled", "hot"])
+def test_all_groups_are_reported_by_default(spark, limits):
+    value = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("long " * 20), (F.col("id") % 400).cast("string")))
+    df = spark.range(2400).select("id", value.alias("v"))
+    found = rows(duplicates_report(df, columns=["v"], id_col="id", limits=limits))
+    assert len(found) == 401 and sum(len(ids) for *_, ids in found) == 2400
+    records = duplicate_records(df, columns=["v"], limits=limits)
+    assert records.count() == 2400
+    assert [r.dup_value for r in records.limit(800).collect()] == ["hot"] * 800

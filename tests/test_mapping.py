@@ -192,3 +192,26 @@ def test_long_chains_are_refused(spark):
     with pytest.raises(ValueError, match="more than 16"):
         resolve_chains(links, max_hops=16)
     assert resolve_chains(links, max_hops=64).filter("normalized <> 'n40'").isEmpty()
+
+
+def test_chains_with_repeated_originals_give_one_end_each(spark):
+    links = spark.createDataFrame([("a", "a"), ("a", "b"), ("c", "a")], "original string, normalized string")
+    assert rows(resolve_chains(links)) == [("a", "b"), ("c", "b")]
+    assert rows(resolve_chains(links.limit(0))) == []
+
+
+def test_the_last_file_wins_whatever_its_size(spark, folder):
+    for name, lines in (("a", ["x,1"]), ("b", [f"y{i},2" for i in range(50)] + ["x,2"]), ("c", ["x,3"])):
+        with open(f"{folder}/{name}.csv", "w", encoding="utf-8") as out:
+            out.write("\n".join(["original,normalized", *lines]))
+    for multi_line in (True, False):
+        loaded = load_mapping(spark, folder, multi_line=multi_line).select("original", "normalized", "_ord")
+        assert dict(rows(upsert(None, loaded, ["original"], "_ord")))["x"] == "3"
+
+
+def test_null_orders_are_refused_and_ties_go_by_content(spark):
+    schema = "original string, normalized string, o int"
+    with pytest.raises(Exception, match="o is null"):
+        upsert(None, spark.createDataFrame([("a", "b", None), ("a", "c", 1)], schema), ["original"], "o").collect()
+    tied = spark.createDataFrame([("a", "c", 1), ("a", "d", 1), ("a", "b", 1)], schema).repartition(3)
+    assert rows(upsert(None, tied, ["original"], "o")) == [("a", "d")]

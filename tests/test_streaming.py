@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from namewright.operators.mapping import apply_mapping
 from namewright.operators.metrics import bucket_counts
-from namewright.streaming.jobs import canonicalise_stream, insert_missing_stream, latest_buckets, throughput_stream
+from namewright.plans.shared import folder_names, shared_dir
+from namewright.streaming.jobs import (
+    canonicalise_stream,
+    dropped_late,
+    insert_missing_stream,
+    latest_buckets,
+    throughput_stream,
+)
 
 
 def _one_file_a_batch(spark, path):
@@ -62,3 +69,43 @@ def test_live_throughput(spark, folder):
     newest = start + dt.timedelta(seconds=20 * 149)
     closed = batch.filter(F.col("t") + F.expr("INTERVAL 1 MINUTE") <= F.lit(newest - dt.timedelta(minutes=2)))
     assert rows(spark.read.parquet(f"{folder}/final")) == rows(closed)
+
+
+def test_late_events_count_and_folders_are_compacted(spark, folder):
+    start = dt.datetime(2024, 1, 1)
+    for day in (5, 1, 4, 0, 2, 3, 0):
+        at = start + dt.timedelta(days=day)
+        data = [(at + dt.timedelta(seconds=45 * i), i % 4 == 0) for i in range(20)]
+        spark.createDataFrame(data, "ts timestamp, bad boolean").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    source = spark.read.parquet(f"{folder}/in")
+    batch = bucket_counts(source, "ts", F.col("bad"), "minute")
+    assert rows(latest_buckets(spark, f"{folder}/out")) == []
+
+    def run(out, checkpoint, **options):
+        stream = _one_file_a_batch(spark, f"{folder}/in")
+        query = throughput_stream(stream, "ts", F.col("bad"), f"{folder}/{out}", f"{folder}/{checkpoint}", **options)
+        query.awaitTermination()
+        return query
+
+    run("out", "ck", compact_every=2)
+    assert rows(latest_buckets(spark, f"{folder}/out")) == rows(batch)
+    left = folder_names(spark, f"{folder}/out")
+    assert {"upto=2", "upto=4", "batch=6"} <= set(left) and "batch=0" not in left
+    # The last batch again, as after a failure before its commit: it replaces what it wrote.
+    commits = f"{folder}/ck/commits"
+    spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration()).delete(
+        spark._jvm.org.apache.hadoop.fs.Path(f"{commits}/6"), False
+    )
+    run("out", "ck", compact_every=2)
+    assert rows(latest_buckets(spark, f"{folder}/out")) == rows(batch)
+    assert dropped_late(run("final", "ck2", final_only=True)) > 0
+
+
+def test_batches_leave_no_settled_folder(spark, folder):
+    spark.range(60).select((F.col("id") % 45).alias("key")).repartition(20).write.parquet(f"{folder}/in")
+    there = f"{shared_dir(spark)}/namewright/{spark.sparkContext.applicationId}"
+    before = folder_names(spark, there)
+    stream = _one_file_a_batch(spark, f"{folder}/in")
+    insert_missing_stream(stream, f"{folder}/out", ["key"], f"{folder}/ck").awaitTermination()
+    assert spark.read.parquet(f"{folder}/out").count() == 45
+    assert folder_names(spark, there) == before
