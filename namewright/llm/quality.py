@@ -131,6 +131,8 @@ def choose_cutoffs(
     among the admitted ones keeps the guarantee; taken is the one that catches the most bad documents, a lost good one
     weighing ten times as much, the more lenient at ties, and none that catches nothing.
 
+    ``stats`` is read several times and should be a written table, as in ``quality_rules``.
+
     Labels: several for one id count as good if any is; null ids or labels count for nothing. Without labels, or in a
     stratum too small to prove anything, there is no cutoff. Copies are counted as independent draws. The counts are
     summed before any shuffle; the sums are some 60 rows per stratum.
