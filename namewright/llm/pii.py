@@ -149,30 +149,41 @@ def code_points(text: str) -> np.ndarray:
 def model_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, str]]]:
     """Spans of each text, whole texts: windows are decoded in batches and put together into one row of tags per text.
 
-    Where windows overlap, each decides the half that is nearer to its middle. A window without a digit or @ is not
-    decoded, as no span there could be kept.
+    Decoded are the windows with a digit or @, and for spans that reach over these the windows next to them. Where two
+    windows with a digit or @ overlap, a tag of either holds, and of two tags that of the window whose middle is nearer:
+    a window may see too little of a span to tag its part. Where only one has any, it decides all it sees, as the other
+    cannot know what the characters before or after belong to.
     """
-    where, codes = [], []
+    where, codes, triggered = [], [], []
     for k, text in enumerate(texts):
         points = code_points(text)
-        last = -(10**9)
+        own: set[int] = set()
+        last = -1
         for found in TRIGGER.finditer(text):
             # the windows over a position are the one beginning at a multiple of STRIDE at or before it, and maybe one more
-            for w in range(max(0, -(-(found.start() - WINDOW + 1) // STRIDE)), found.start() // STRIDE + 1):
-                if w > last:
-                    where.append((k, w * STRIDE))
-                    codes.append(points[w * STRIDE : w * STRIDE + WINDOW])
-                    last = w
-    tags = [np.zeros(0, np.int8)] * len(texts)
-    margin = (WINDOW - STRIDE) // 2
+            own.update(range(max(last + 1, 0, -(-(found.start() - WINDOW + 1) // STRIDE)), found.start() // STRIDE + 1))
+            last = found.start() // STRIDE
+        triggered.append(own)
+        beside = {w + d for w in own for d in (-1, 1) if 0 <= w + d <= (len(text) - 1) // STRIDE} - own
+        for w in [*sorted(beside), *sorted(own)]:  # what a window with a digit or @ says comes over what its neighbours say
+            where.append((k, w))
+            codes.append(points[w * STRIDE : w * STRIDE + WINDOW])
+    tags = [np.zeros(len(text) if own else 0, np.int8) for text, own in zip(texts, triggered, strict=True)]
+    both = np.arange(WINDOW) < WINDOW - STRIDE
+    nearer = np.arange(WINDOW) < (WINDOW - STRIDE) // 2
     for begin in range(0, len(codes), 1024):
         decoded = tagger.decode(codes[begin : begin + 1024], WINDOW)
-        for (k, at), row in zip(where[begin : begin + 1024], decoded, strict=True):
-            if not len(tags[k]):
-                tags[k] = np.zeros(len(texts[k]), np.int8)
-            low = at + (margin if at else 0)
-            high = min(len(texts[k]), at + WINDOW - (margin if at + WINDOW < len(texts[k]) else 0))
-            tags[k][low:high] = row[low - at : high - at]
+        for (k, w), row in zip(where[begin : begin + 1024], decoded, strict=True):
+            here = tags[k][w * STRIDE : w * STRIDE + WINDOW]
+            n = len(here)
+            if w not in triggered[k] or w - 1 in triggered[k]:
+                earlier = both[:n] & (here > 0) & (nearer[:n] | (row[:n] == 0))
+                here[:] = np.where(earlier, here, row[:n])
+            else:
+                here[:] = row[:n]
+            at = w * STRIDE
+            if at and here[0] % 2 == 1 and (tags[k][at - 1] + 1) // 2 == (here[0] + 1) // 2:
+                here[0] += 1  # goes on with the span that the window before ends in; a window has to begin one
     return [list(_spans(text, row)) for text, row in zip(texts, tags, strict=True)]
 
 
