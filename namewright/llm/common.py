@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,8 @@ from namewright.plans.shared import fresh_path
 
 #: A side of at most so many long ids (some 32 MB in memory) may be broadcast; beyond it the join shuffles.
 BROADCAST_IDS = 1_000_000
+#: The same for keys that hold a digest.
+BROADCAST_KEYS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,3 +82,35 @@ def by_ids(docs: DataFrame, ids: DataFrame, how: str, id_col: str = "doc_id") ->
     if own.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         own = F.broadcast(own)
     return docs.join(own, quoted(id_col) == F.col("__id"), how)
+
+
+def text_sha(text_col: str) -> Column:
+    """SHA-256 of a text, a null one counting as empty."""
+    return F.unhex(F.sha2(text_or_empty(text_col), 256))
+
+
+def by_keys(docs: DataFrame, keys: DataFrame, how: str, own: list[Column]) -> DataFrame:
+    """Semi or anti join of ``docs`` with a written table of keys, whose columns stand for ``own``; null equals null.
+
+    For verdicts on rows whose ids may be null or repeated. Broadcast up to ``BROADCAST_KEYS``, as in ``by_ids``.
+    """
+    wanted = keys.toDF(*[f"__key{k}" for k in range(len(own))]).distinct()
+    if wanted.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    return docs.join(wanted, reduce(and_, [c.eqNullSafe(F.col(f"__key{k}")) for k, c in enumerate(own)]), how)
+
+
+def one_row_each(docs: DataFrame, gone: DataFrame, tied: DataFrame, own: list[Column], text_col: str) -> DataFrame:
+    """``docs`` without the rows whose key is in ``gone``, and one of those that share a key in ``tied``.
+
+    Rows of a tied key have equal texts; the one whose other columns are largest as JSON stays. They are thinned to one
+    row per key and task before the shuffle.
+    """
+    out = by_keys(docs, gone.union(tied), "left_anti", own)
+    if tied.isEmpty():
+        return out
+    same = by_keys(docs, tied, "left_semi", own)
+    rest = F.to_json(F.struct(quoted(text_col).isNull().alias("_"), *[quoted(c) for c in docs.columns if c != text_col]))
+    row = F.struct(*[quoted(c) for c in docs.columns])
+    groups = same.groupBy(*[c.alias(f"__key{k}") for k, c in enumerate(own)]).agg(F.max_by(row, rest).alias("__row"))
+    return out.unionByName(groups.select("__row.*"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_ids, quoted, table, text_or_empty, written
+from namewright.llm.common import one_row_each, quoted, table, text_or_empty, text_sha, written
 
 #: Bits per row of the filter. A row sets two cells, so of the rows with no copy about 1 in 64 passes by accident.
 CELLS_PER_ROW = 16
@@ -95,10 +95,16 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Ids must identify rows."""
-    result = exact_dedup(docs, id_col, text_col)
-    gone = written(result.where("not kept").select(quoted(id_col).alias("gone")), "gone")
-    return by_ids(docs, gone, "left_anti", id_col)
+    """Exactly one row of each group of equal texts, with all its columns: one with the largest id.
+
+    Rows are told by text and id together, so null and repeated ids are settled like others; of rows that agree in both
+    one stays.
+    """
+    result = exact_dedup(docs, id_col, text_col).where("group_size > 1")
+    rows = result.groupBy(F.unhex("text_sha256").alias("sha"), quoted(id_col).alias("id"), "kept")
+    rows = written(rows.agg(F.count(F.lit(1)).alias("n")).where("not kept OR n > 1"), "copied-rows")
+    gone, tied = (rows.where(which).select("sha", "id") for which in ("not kept", "kept"))
+    return one_row_each(docs, gone, tied, [text_sha(text_col), quoted(id_col)], text_col)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

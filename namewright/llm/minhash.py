@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from namewright.llm.common import by_ids, held, quoted, table, written
+from namewright.llm.common import by_ids, by_keys, held, one_row_each, quoted, table, text_or_empty, written
 from namewright.llm.components import components
 from namewright.llm.shingles import WORDS_PER_SHINGLE, mixed, shingle_sets
 
@@ -298,10 +298,35 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, one document of each component, with all their columns."""
-    result = near_duplicates(docs, id_col, text_col, **options)
-    gone = written(result.where("not kept").select(quoted(id_col).alias("gone")), "gone")
-    return by_ids(docs, gone, "left_anti", id_col)
+    """The rows of ``docs`` that are kept, exactly one row of each component, with all their columns.
+
+    That is one with the smallest id; a row with a null id stays where no other has one. Ids may be null or repeated, as
+    documents are compared under a 64-bit hash of their text. Equal texts are first reduced to one row, which costs
+    nothing where there are none. Texts without a word are linked with nothing; of such rows with the same id and text
+    one stays.
+    """
+    key, id_, text = F.xxhash64(text_or_empty(text_col)), quoted(id_col), text_or_empty(text_col)
+    blank = ~text.rlike(r"[^ \t-\r]")
+    each = docs.select(key.alias("key"), id_.alias("id"), blank.alias("blank"), F.when(blank, id_).alias("own"))
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")
+    groups = each.groupBy("key", "blank", "own").agg(least, F.count(F.lit(1)).alias("c")).where("c > 1")
+    groups = written(groups.select(F.col("key").alias("of"), "blank", "own", "least.id"), "equal-texts")
+    if not groups.isEmpty():
+        groups = groups.toDF("of", "of_blank", "of_own", "least")
+        same = (F.col("key") == F.col("of")) & (F.col("blank") == F.col("of_blank")) & F.col("own").eqNullSafe(F.col("of_own"))
+        rows = each.join(groups, same).groupBy("key", "id", F.col("id").eqNullSafe(F.col("least")).alias("kept"))
+        rows = written(rows.agg(F.count(F.lit(1)).alias("n")).where("not kept OR n > 1"), "equal-rows")
+        gone, tied = (rows.where(which).select("key", "id") for which in ("not kept", "kept"))
+        docs = one_row_each(docs, gone, tied, [key, id_], text_col)
+
+    result = near_duplicates(docs.select(key.alias("key"), quoted(text_col).alias("text")), "key", "text", **options)
+    linked = written(result.where("not kept").select("key", "component_id"), "linked")
+    members = linked.union(linked.select(F.col("component_id").alias("key"), "component_id")).distinct()
+    named = written(docs.select(key.alias("key"), id_.alias("id")).join(members, "key"), "members")
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best")
+    best = named.groupBy("component_id").agg(best).select("component_id", F.col("best.key").alias("stays"))
+    gone = written(named.join(best, "component_id").where("key <> stays").select("key"), "gone")
+    return by_keys(docs, gone, "left_anti", [key])
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewright.llm.common import by_ids, quoted, table, text_or_empty, written
+from namewright.llm.common import by_keys, quoted, table, text_or_empty, text_sha, written
 
 #: The rules: a statistic and its candidate cutoffs, from the most lenient to the strictest.
 RULES: dict[str, tuple[str, tuple[float, ...]]] = {
@@ -254,11 +254,32 @@ def quality_rules(
     return judge(stats, cutoffs).withColumnRenamed("id", id_col)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns. Ids must identify rows."""
-    judged = quality_rules(docs, labels, id_col, **options)
-    gone = written(judged.where("not kept").select(quoted(id_col).alias("gone")), "gone")
-    return by_ids(docs, gone, "left_anti", id_col)
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    stratum_col: str = "lang",
+    label_col: str = "quality",
+    risk: float = RISK,
+    delta: float = DELTA,
+) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns.
+
+    A verdict follows from text and stratum alone, so rows are told by these; ids may be null or repeated. They serve
+    only to find a row's label.
+    """
+    whole = docs.select(
+        F.struct(quoted(id_col).alias("id"), text_sha(text_col).alias("sha")).alias("row"),
+        quoted(text_col).alias("text"),
+        quoted(stratum_col).alias("stratum"),
+    )
+    stats = statistics(whole, "row", "text", F.col("stratum"))
+    stats = written(stats.select("id.id", "id.sha", *[c for c in stats.columns if c != "id"]), "quality")
+    judged = judge(stats, choose_cutoffs(stats, labels, risk, delta, id_col, label_col))
+    gone = written(judged.where("not kept").select("sha", "stratum").distinct(), "gone")
+    own = [text_sha(text_col), F.coalesce(quoted(stratum_col).cast("string"), F.lit(""))]
+    return by_keys(docs, gone, "left_anti", own)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from namewright.llm import pii
 
 
@@ -27,3 +28,40 @@ def test_an_address_over_windows_is_found_at_every_offset(local, domain, sees):
     texts = ["z" * (200 + k) + " " + address + " " + "z" * 300 for k in range(64)] + ["z" * k + " " + address for k in range(64)]
     for text, spans in zip(texts, pii.model_spans(_Letters(sees), texts), strict=True):
         assert [text[a:b] for a, b, _ in spans] == [address]
+
+
+def _words(seed, n=80):
+    return " ".join(f"w{seed}x{i * i % 9973}" for i in range(n))
+
+
+def test_stages_settle_null_and_repeated_ids(spark, folder):
+    a, b = _words(1), _words(2)
+    near_b = b + " more"
+    junk = "the same three words " * 60
+    rows = [
+        (1, a, "en", "s", 1), (1, a, "en", "s", 1), (None, a, "en", "s", 1),  # a whole row twice, a copy without id
+        (2, b, "en", "s", 1), (2, junk, "en", "s", 1),  # a good and a bad text under one id
+        (None, junk, "en", "t", 2), (None, None, None, None, None), (None, None, None, None, None),
+        (3, near_b, "en", "s", 1), (None, near_b + " still", "en", "s", 1),
+        (None, _words(4), None, None, None), (None, _words(4) + " on", None, "t", None), (None, _words(5), None, None, None),
+        (6, _words(6), "en", "s", 1), (6, _words(6), "de", "s", 1), (6, _words(7), "en", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(3)
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    result = lambda name: sorted(((r.doc_id, r.text) for r in stages[name](spark, docs, folder).collect()), key=str)
+    pairs = [(i, t) for i, t, *_ in rows]
+    assert result("quality_rules") == sorted(((i, t) for i, t in pairs if t not in (junk, None)), key=str)
+    once = [(1, a), (2, b), (2, junk), (None, None), (3, near_b), (None, near_b + " still")]
+    once += [(None, _words(4)), (None, _words(4) + " on"), (None, _words(5)), (6, _words(6)), (6, _words(7))]
+    assert result("exact_dedup") == sorted(once, key=str)
+    near = result("near_dedup")
+    assert len([t for i, t in near if i is None and t in (_words(4), _words(4) + " on")]) == 1
+    assert [x for x in near if x[1] not in (_words(4), _words(4) + " on")] == sorted(
+        [(1, a), (2, b), (2, junk), (None, None), (None, _words(5)), (6, _words(6)), (6, _words(7))], key=str
+    )
+    for name in ("exact_dedup", "near_dedup"):
+        out = stages[name](spark, docs, folder)
+        assert out.columns == docs.columns
+        assert {r.lang for r in out.where(f"text = '{_words(6)}'").collect()} <= {"en", "de"}
+    assert stages["near_dedup"](spark, docs.limit(0), folder).count() == 0
