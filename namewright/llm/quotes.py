@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from namewright.llm.common import quoted, table, text_or_empty, written
 
 
+#: A message's lines without ``>``, blank ones included; nothing if it has quotations only.
+OWN_LINES = r"""
+    CASE WHEN size(passages) > 0 AND NOT exists(passages, p -> p.level = 0) THEN ''
+    ELSE array_join(filter(split(text, '\n'), l -> NOT l RLIKE '^[ \t]*>'), '\n') END"""
+
+
 def _normalised(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(text, r"[ \t-\r]+", " ")))
 
@@ -41,7 +47,7 @@ def reply_order(
     white space as one blank. A quoted passage without an original there gives the next one its chance, then those at
     deeper levels. ``thread`` is the turn of the message at the end of the chain of parents and ``depth`` its length.
     Ordered by ``thread, depth, turn`` in a conversation, a message stands after the one it answers; ``text`` holds its
-    own lines without quotations.
+    own lines without quotations, blank ones included.
 
     Originals are reduced to one row per passage before the shuffle, so a phrase said a million times costs a row per
     task. Chains are followed by doubling, each round written. Nothing gathers a conversation in one place; the order is
@@ -57,7 +63,7 @@ def reply_order(
     )
     split = passages(source)
     own = F.expr("filter(passages, p -> p.level = 0)")
-    split = split.withColumn("text", F.expr(r"array_join(transform(filter(passages, p -> p.level = 0), p -> p.text), '\n')"))
+    split = split.withColumn("text", F.expr(OWN_LINES))
     split = written(split.select("conv", "turn", "role", "text", "passages"), "messages")
 
     said = split.select("conv", "turn", F.explode(own).alias("p"))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from namewright.llm import pii
+from namewright.llm import pii, quotes
 
 
 class _Letters:
@@ -65,3 +65,10 @@ def test_stages_settle_null_and_repeated_ids(spark, folder):
         assert out.columns == docs.columns
         assert {r.lang for r in out.where(f"text = '{_words(6)}'").collect()} <= {"en", "de"}
     assert stages["near_dedup"](spark, docs.limit(0), folder).count() == 0
+
+
+def test_blank_lines_of_a_message_stay(spark):
+    texts = ["a\n\n\n  b = 1\n\n  c\n", "> a\n\nyes\n\nno", "> a\n\n\n> b", "plain"]
+    docs = spark.createDataFrame([(1, k, "u", x) for k, x in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r.text for r in quotes.reply_order(docs).collect()}
+    assert got == {0: texts[0], 1: "\nyes\n\nno", 2: "", 3: "plain"}
