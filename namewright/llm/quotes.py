@@ -8,33 +8,37 @@ from pyspark.sql import functions as F
 from namewright.llm.common import quoted, table, text_or_empty, written
 
 
-#: A message's lines without ``>``, blank ones included; nothing if it has quotations only.
-OWN_LINES = r"""
-    CASE WHEN size(passages) > 0 AND NOT exists(passages, p -> p.level = 0) THEN ''
-    ELSE array_join(filter(split(text, '\n'), l -> NOT l RLIKE '^[ \t]*>'), '\n') END"""
-
-
 def _normalised(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(text, r"[ \t-\r]+", " ")))
 
 
 def passages(messages: DataFrame) -> DataFrame:
-    """Adds ``passages``, an array of ``(level, text)``: unbroken runs of lines quoted equally deep.
+    """Adds ``own``, the text without quotations, and ``units``, an array of ``(level, run, size, pos, text)``.
 
-    A line's level is the number of ``>`` before its text, with blanks between or not; a line without text is left out
-    and breaks no run. A message is split on its own, nothing is shuffled.
+    A line's level is the number of ``>`` before its text, with blanks between or not. A run is an unbroken run of lines
+    of one level; lines without text break none. Units are each run (size 0), its paragraphs, which a line without text
+    ends (1), and its lines (2); those without text are left out. ``own`` has all lines of level 0, blank ones too, but
+    is empty if there are quotations only. A message is split on its own, nothing is shuffled.
     """
     lines = F.expr(r"""
-        filter(transform(split(text, '\n'), l -> struct(
+        transform(split(text, '\n'), l -> struct(
             length(regexp_replace(regexp_extract(l, '^([ \t]*>)*', 0), '[^>]', '')) AS level,
-            regexp_replace(l, '^([ \t]*>)+ ?', '') AS line)), x -> x.line RLIKE r'[^ \t-\r]')""")
-    out = messages.withColumn("lines", lines)
-    starts = F.expr("filter(sequence(0, size(lines)), i -> i < size(lines) AND (i = 0 OR lines[i].level <> lines[i - 1].level))")
-    out = out.withColumn("starts", starts).withColumn("n_lines", F.size("lines"))
-    runs = F.expr("""
-        transform(starts, (s, k) -> struct(lines[s].level AS level, array_join(transform(
-            slice(lines, s + 1, coalesce(get(starts, k + 1), n_lines) - s), x -> x.line), '\n') AS text))""")
-    return out.withColumn("passages", runs).drop("lines", "starts", "n_lines")
+            regexp_replace(l, '^([ \t]*>)+ ?', '') AS line))""")
+    out = messages.withColumn("every", lines)
+    out = out.withColumn("said", F.expr(r"filter(transform(every, (x, i) -> struct(x.level, x.line, i)), x -> x.line RLIKE r'[^ \t-\r]')"))
+    out = out.withColumn("n", F.size("said"))
+    step = "filter(sequence(0, n), i -> i < n AND (i = 0 OR said[i].level <> said[i - 1].level {}))"
+    out = out.withColumn("runs", F.expr(step.format("")))
+    out = out.withColumn("paragraphs", F.expr(step.format("OR said[i].i > said[i - 1].i + 1")))
+    joined = """
+        transform({0}, (s, k) -> struct(said[s].level AS level, size(filter(runs, r -> r <= s)) AS run, {1} AS size, s AS pos,
+            array_join(transform(slice(said, s + 1, coalesce(get({0}, k + 1), n) - s), x -> x.line), '\n') AS text))"""
+    each = "transform(said, (x, s) -> struct(x.level AS level, size(filter(runs, r -> r <= s)) AS run, 2 AS size, s AS pos, x.line AS text))"
+    out = out.withColumn("units", F.expr(f"concat({joined.format('runs', 0)}, {joined.format('paragraphs', 1)}, {each})"))
+    own = r"""
+        CASE WHEN exists(every, x -> x.level > 0) AND NOT exists(said, x -> x.level = 0) THEN ''
+        ELSE array_join(transform(filter(every, x -> x.level = 0), x -> x.line), '\n') END"""
+    return out.withColumn("own", F.expr(own)).drop("every", "said", "n", "runs", "paragraphs")
 
 
 def reply_order(
@@ -43,13 +47,14 @@ def reply_order(
     """One row per message, in reply order: ``conv, turn, role, parent_turn, thread, depth, text``.
 
     A message's parent is the earliest message of its conversation that says, in its own words, the first passage it
-    quotes at level 1, if that message comes before it. Passages are compared by a hash of the lower-cased text with
-    white space as one blank. A quoted passage without an original there gives the next one its chance, then those at
-    deeper levels. ``thread`` is the turn of the message at the end of the chain of parents and ``depth`` its length.
+    quotes at level 1, if that message comes before it. Passages, that is runs, paragraphs and lines, are compared by a
+    hash of the lower-cased text with white space as one blank. First counts a quoted run that is a whole run of the
+    original, or any part that one message alone says; then, the longest first, parts that several messages say. A
+    quoted passage without an original gives the next one its chance, then those at deeper levels. ``thread`` is the turn of the message at the end of the chain of parents and ``depth`` its length.
     Ordered by ``thread, depth, turn`` in a conversation, a message stands after the one it answers; ``text`` holds its
     own lines without quotations, blank ones included.
 
-    Originals are reduced to one row per passage before the shuffle, so a phrase said a million times costs a row per
+    Originals are reduced to one row per run, paragraph or line before the shuffle, so a phrase said a million times costs a row per
     task. Chains are followed by doubling, each round written. Nothing gathers a conversation in one place; the order is
     a sort by range. Messages with a null conversation or turn are kept, without parent. A null or empty text, or one
     of quotations only, has an empty text. Rows with the same conversation and turn get the same parent, and answer as
@@ -62,17 +67,20 @@ def reply_order(
         text_or_empty(text_col).alias("text"),
     )
     split = passages(source)
-    own = F.expr("filter(passages, p -> p.level = 0)")
-    split = split.withColumn("text", F.expr(OWN_LINES))
-    split = written(split.select("conv", "turn", "role", "text", "passages"), "messages")
-
-    said = split.select("conv", "turn", F.explode(own).alias("p"))
-    said = said.select("conv", "turn", F.xxhash64(_normalised(F.col("p.text"))).alias("h"))
-    originals = written(said.groupBy("conv", "h").agg(F.min("turn").alias("origin")), "originals")
-    quotes = split.select("conv", "turn", F.posexplode("passages").alias("k", "p")).where("p.level > 0")
-    quotes = quotes.select("conv", "turn", "k", "p.level", F.xxhash64(_normalised(F.col("p.text"))).alias("h"))
-    found = quotes.join(originals, ["conv", "h"]).where("origin < turn")
-    best = F.min(F.struct("level", "k", "origin")).alias("best")
+    split = written(split.select("conv", "turn", "role", F.col("own").alias("text"), "units"), "messages")
+
+    units = split.select("conv", "turn", F.explode("units").alias("p"))
+    units = units.select("conv", "turn", "p.level", "p.run", "p.size", "p.pos", _normalised(F.col("p.text")).alias("p"))
+    units = units.withColumn("h", F.xxhash64("p")).withColumn("chars", F.length("p")).drop("p")
+    whole = F.min(F.when(F.col("size") == 0, F.col("turn"))).alias("whole")
+    originals = units.where("level = 0").groupBy("conv", "h").agg(F.min("turn").alias("first"), F.max("turn").alias("last"), whole)
+    originals = written(originals, "originals")
+    found = units.where("level > 0").join(originals, ["conv", "h"]).where("first < turn")
+    is_whole = (F.col("size") == 0) & F.coalesce(F.col("whole") < F.col("turn"), F.lit(False))
+    found = found.withColumn("origin", F.when(is_whole, F.col("whole")).otherwise(F.col("first")))
+    found = found.withColumn("weak", ~(is_whole | (F.col("first") == F.col("last"))))
+    rank = F.when(F.col("weak"), -F.col("chars")).otherwise(0).alias("rank")
+    best = F.min(F.struct("level", "weak", rank, "run", "size", "pos", "origin")).alias("best")
     parents = found.groupBy("conv", "turn").agg(best).select("conv", "turn", F.col("best.origin").alias("parent"))
     parents = written(parents, "parents")
 
@@ -108,7 +116,9 @@ def reply_order(
 def quoting_view(conversations: DataFrame) -> DataFrame:
     """The conversations as mail: each message but the first quotes an earlier one, and what that one answers.
 
-    The given texts have no quotations, so this view adds them: message t answers message crc32('conv:t') mod t.
+    The given texts have no quotations, so this view adds them: message t answers message crc32('conv:t') mod t. A third
+    quotes all of it, a third its last line, and a third its first line, says its own first line, and quotes the last
+    line before the rest.
     """
     answered = F.expr("pmod(crc32(encode(concat(conv_id, ':', turn), 'UTF-8')), turn)")
     base = conversations.select("conv_id", "turn", "role", "text").withColumn("to", F.when(F.col("turn") > 0, answered))
@@ -117,8 +127,15 @@ def quoting_view(conversations: DataFrame) -> DataFrame:
     out = base.join(up, ["conv_id", "to"], "left").join(up2, ["conv_id", "to2"], "left")
     quote = lambda text, mark: F.concat(F.lit(mark), F.regexp_replace(text, "\n", "\n" + mark), F.lit("\n"))
     nothing = F.lit("")
-    text = F.concat(F.coalesce(quote(F.col("up2_text"), "> > "), nothing), F.coalesce(quote(F.col("up_text"), "> "), nothing), F.col("text"))
-    return out.select("conv_id", "turn", "role", text.alias("text"))
+    text, above = F.col("text"), F.col("up_text")
+    first, last = F.substring_index(above, "\n", 1), F.substring_index(above, "\n", -1)
+    how = F.expr("pmod(crc32(encode(concat(turn, ':', conv_id), 'UTF-8')), 3)")
+    between = (how == 2) & above.contains("\n") & text.contains("\n")
+    direct = F.when(how == 1, quote(last, "> ")).when(between, quote(first, "> ")).otherwise(quote(above, "> "))
+    own_first = F.concat(F.substring_index(text, "\n", 1), F.lit("\n"))
+    own = F.when(between, F.concat(own_first, quote(last, "> "), F.expr("substring(text, instr(text, '\n') + 1)"))).otherwise(text)
+    mail = F.concat(F.coalesce(quote(F.col("up2_text"), "> > "), nothing), F.coalesce(direct, nothing), own)
+    return out.select("conv_id", "turn", "role", mail.alias("text"))
 
 
 def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,3 +72,23 @@ def test_blank_lines_of_a_message_stay(spark):
     docs = spark.createDataFrame([(1, k, "u", x) for k, x in enumerate(texts)], "conv_id long, turn long, role string, text string")
     got = {r.turn: r.text for r in quotes.reply_order(docs).collect()}
     assert got == {0: texts[0], 1: "\nyes\n\nno", 2: "", 3: "plain"}
+
+
+def test_parts_of_messages_are_quotations_too(spark):
+    rows = [
+        (1, 0, "Hello,\nfirst point\nof two lines\n\nsecond point"),
+        (1, 1, "Hello,\nanother thing\nand its reason"),
+        (1, 2, "> second point\nyes"),  # one line of an original
+        (1, 3, "> First  point of\n> two lines\n\nno\n\n> and its reason\nwhy?"),  # re-wrapped, then another message
+        (1, 4, "> Hello,\nhi\n> another thing\nwhich?\n> and its reason\nsee"),  # answers between parts; two say hello
+        (1, 5, "> and its reason\n> something nobody says\nhm"),
+        (1, 6, "> Hello,\nhey"),
+        (1, 7, "> > another thing\n> hi\nok"),
+        (1, 8, "> hi\n"),
+        (2, 0, "a\n\n\n  b = 1\n\n  c\n"),
+    ]
+    docs = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.text) for r in quotes.reply_order(docs).collect()}
+    assert {t: p for (c, t), (p, _) in got.items() if c == 1} == {0: None, 1: None, 2: 0, 3: 1, 4: 1, 5: 1, 6: 0, 7: 4, 8: 4}
+    assert got[1, 0][1] == rows[0][2] and got[2, 0][1] == rows[-1][2]
+    assert got[1, 3][1] == "\nno\n\nwhy?" and got[1, 4][1] == "hi\nwhich?\nsee" and got[1, 8][1] == ""
