@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,3 +118,14 @@ def one_row_each(docs: DataFrame, gone: DataFrame, tied: DataFrame, own: list[Co
     row = F.struct(*[quoted(c) for c in docs.columns])
     groups = same.groupBy(*[c.alias(f"__key{k}") for k, c in enumerate(own)]).agg(F.max_by(row, rest).alias("__row"))
     return out.unionByName(groups.select("__row.*"))
+
+
+def parts(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces whose values in ``column`` have about ``most`` bytes or items together."""
+    values = batch.column(column)
+    sizes = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+    piece = sizes.fill_null(0).to_numpy(zero_copy_only=False).cumsum(dtype=np.int64) // most
+    starts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(piece)]
+    for begin, end in zip(starts, starts[1:], strict=False):
+        if end > begin:
+            yield batch.slice(begin, end - begin)

@@ -22,7 +22,7 @@ def odd(spark):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_query_agrees_with_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     result = registry.QUERIES[name](spark, SF_DIR)
     columns = sorted(result.columns)
