@@ -75,6 +75,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def by_ids(docs: DataFrame, ids: DataFrame, how: str, id_col: str = "doc_id") -> DataFrame:
     """Semi or anti join of ``docs`` with a written one-column table of ids.
 
