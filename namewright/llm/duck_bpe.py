@@ -22,10 +22,10 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Characters of text that are worked on together.
 TEXT_CHARS = 4_000_000
 #: Words whose ids a task remembers; it forgets them all when there are more.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Bytes of new words in one query, and rows that a query's recursion may gather; longer words take several queries.
-WORD_BYTES = 800_000
-STATE_ROWS = 8_000_000
+WORD_BYTES = 1_500_000
+STATE_ROWS = 12_000_000
 #: Words of more bytes are merged by the query that takes a whole run of equal pairs in one step.
 LONG_WORD = 64
 #: What DuckDB may hold. It is told to write no file.
@@ -39,10 +39,9 @@ _STEPS = """
         SELECT word, pos, id, 0 AS step FROM start
         UNION ALL
         (WITH pairs AS (
-            SELECT *, CASE WHEN lead(word) OVER w = word THEN lead(id) OVER w END AS next_id
+            SELECT *, CASE WHEN lead(word) OVER w = word THEN (CAST(id AS BIGINT) << 32) + lead(id) OVER w END AS pair
             FROM state WHERE step < {steps} WINDOW w AS (ORDER BY pos)),
-        ranked AS MATERIALIZED (
-            SELECT word, pos, id, step, next_id, rank FROM pairs LEFT JOIN merges ON left_id = id AND right_id = next_id),
+        ranked AS MATERIALIZED (SELECT word, pos, id, step{pair}, rank FROM pairs LEFT JOIN merges USING (pair)),
         best AS (SELECT word, min(rank) AS best FROM ranked WHERE rank IS NOT NULL GROUP BY word),
         found AS (SELECT ranked.*, best, coalesce(rank = best, false) AS hit FROM ranked JOIN best USING (word)),
         {contracted}
@@ -50,14 +49,14 @@ _STEPS = """
     SELECT word, pos, id, step FROM state JOIN (SELECT word, max(step) AS step FROM state GROUP BY word) USING (word, step)
     ORDER BY pos"""
 # Pairs of one rank overlap only in a run of one token; of such a run the first pair is contracted...
-_FIRST_OF_RUN = """contracted AS (
+_FIRST_OF_RUN = "", """contracted AS (
             SELECT *, hit AND NOT before AS contracts, before AND NOT before_that AS gone FROM (
                 SELECT *, lag(hit, 1, false) OVER w AS before, lag(hit, 2, false) OVER w AS before_that
                 FROM found WINDOW w AS (ORDER BY pos)))"""
 # ...or the first, third and so on: those at an odd distance from the row before the run.
-_WHOLE_RUN = """numbered AS (SELECT *, row_number() OVER (ORDER BY pos) AS n FROM found),
+_WHOLE_RUN = ", pair", """numbered AS (SELECT *, row_number() OVER (ORDER BY pos) AS n FROM found),
         chosen AS (
-            SELECT *, hit AND (id <> next_id OR (n - coalesce(max(CASE WHEN NOT hit THEN n END) OVER w, 0)) % 2 = 1)
+            SELECT *, hit AND (id <> pair & 4294967295 OR (n - coalesce(max(CASE WHEN NOT hit THEN n END) OVER w, 0)) % 2 = 1)
                 AS contracts FROM numbered WINDOW w AS (ORDER BY pos ROWS UNBOUNDED PRECEDING)),
         contracted AS (SELECT *, coalesce(lag(contracts) OVER (ORDER BY pos), false) AS gone FROM chosen)"""
 _DECODED = """
@@ -66,7 +65,8 @@ _DECODED = """
 
 
 class Vocabulary(NamedTuple):
-    """Each token's bytes as hexadecimal digits, the merges as pairs of ids with the id they make, the ids of the bytes."""
+    """Each token's bytes as hexadecimal digits, the merges as pairs of ids (one number: the left
+    one in the upper half) with the id they make, the ids of the bytes."""
 
     tokens: pa.Table
     merges: pa.Table
@@ -100,8 +100,8 @@ def load_vocabulary(path: str | None = None) -> Vocabulary:
         if len(own) == 2:
             merges.append((ranks[own[0]], ranks[own[1]], rank))
     tokens = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "bytes": [t.hex() for t in ranks]})
-    columns = zip(*merges, strict=True) if merges else ([], [], [])
-    table = pa.table(dict(zip(("left_id", "right_id", "rank"), (pa.array(c, pa.int32()) for c in columns), strict=True)))
+    pairs = pa.array([(a << 32) + b for a, b, _ in merges], pa.int64())
+    table = pa.table({"pair": pairs, "rank": pa.array([rank for _, _, rank in merges], pa.int32())})
     return Vocabulary(tokens, table, np.array([ranks[bytes([b])] for b in range(256)], np.int32))
 
 
@@ -139,6 +139,18 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + counts, counts)
 
 
+class Numbers(dict):
+    """A number for each word asked for; ``new`` gathers those asked for the first time."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
+
+
 class Coder:
     """Encodes and decodes batches of texts with one DuckDB connection, to be closed after use."""
 
@@ -161,11 +173,11 @@ class Coder:
         self.db.unregister("rows")
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbers()
         self.starts = self.counts = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
-    def _contracted(self, words: list[bytes], whole_run: bool) -> tuple[np.ndarray, np.ndarray]:
+    def _contracted(self, words: list[bytes], runs: tuple[str, str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some words, and how many each word has."""
         lengths = np.array([len(w) for w in words])
         ids = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
@@ -175,7 +187,7 @@ class Coder:
         while len(state[0]):
             steps = max(1, STATE_ROWS // len(state[0]))
             self.db.register("start", pa.table(state, ["word", "pos", "id"]))
-            query = _STEPS.format(steps=steps, contracted=_WHOLE_RUN if whole_run else _FIRST_OF_RUN)
+            query = _STEPS.format(steps=steps, pair=runs[0], contracted=runs[1])
             found = self.db.sql(query).to_arrow_table()
             self.db.unregister("start")
             *rows, step = (found.column(c).to_numpy() for c in ("word", "pos", "id", "step"))
@@ -184,33 +196,32 @@ class Coder:
         word, pos, ids = (np.concatenate(c) for c in zip(*done, strict=True))
         return ids[np.argsort(pos, kind="stable")], np.bincount(word, minlength=len(words))
 
-    def _learn(self, words: list[str]) -> None:
-        """Add the ids of new words to those that are known."""
-        short, long = [], []
-        for w in words:
-            (long if len(w.encode()) > LONG_WORD else short).append(w)
-        for group, whole_run in ((short, False), (long, True)):
-            begin = 0
-            while begin < len(group):
-                raw, size = [], 0
-                while begin + len(raw) < len(group) and (not raw or size < WORD_BYTES):
-                    raw.append(group[begin + len(raw)].encode())
-                    size += len(raw[-1])
-                ids, counts = self._contracted(raw, whole_run)
-                for k, w in enumerate(group[begin : begin + len(raw)]):
-                    self.known[w] = len(self.starts) + k
-                self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
-                self.counts = np.concatenate([self.counts, counts])
-                self.ids = np.concatenate([self.ids, ids])
-                begin += len(raw)
+    def _learn(self) -> None:
+        """Find the ids of the new words, in the order of their numbers."""
+        words, self.known.new = [w.encode() for w in self.known.new], []
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        lengths = np.array([len(w) for w in words], np.int64)
+        for group, runs in ((lengths <= LONG_WORD, _FIRST_OF_RUN), (lengths > LONG_WORD, _WHOLE_RUN)):
+            own = np.flatnonzero(group)
+            before = np.cumsum(lengths[own]) - lengths[own]
+            for some in np.split(own, np.flatnonzero(np.diff(before // WORD_BYTES)) + 1):
+                if len(some):
+                    found.append((some, *self._contracted([words[k] for k in some.tolist()], runs)))
+        if found:
+            number, ids, counts = (np.concatenate(c) for c in zip(*found, strict=True))
+            starts = np.empty_like(counts)
+            starts[number] = len(self.ids) + np.cumsum(counts) - counts
+            self.starts = np.concatenate([self.starts, starts])
+            self.counts = np.concatenate([self.counts, counts[np.argsort(number)]])
+            self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one text after the other, and how many each has."""
-        words = [self.split(text) for text in texts]
         if len(self.known) > self.remembered:
             self._forget()
-        self._learn(list(dict.fromkeys(w for own in words for w in own if w not in self.known)))
+        words = [self.split(text) for text in texts]
         number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64)
+        self._learn()
         counts = self.counts[number]
         before = np.concatenate([[0], np.cumsum(counts)])
         ends = before[np.cumsum([0] + [len(own) for own in words])]
