@@ -63,9 +63,10 @@ def hot_hashes(rows: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS,
     hashed = rows.select((F.xxhash64(*on) if key_hash is None else key_hash).alias("__h"), F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("__m"))
     size = limits.tracked_keys
     partial = hashed.groupBy("__m").agg(F.expr(f"approx_top_k_accumulate(__h, {size})").alias("__sketch"))
-    merged = partial.agg(F.expr(f"approx_top_k_combine(__sketch, {size})").alias("__sketch"))
-    top = merged.select(F.expr(f"approx_top_k_estimate(__sketch, {limits.hot_keys})").alias("top")).first()["top"]
-    return [entry["item"] for entry in top or [] if entry["count"] >= limits.hot_rows]
+    # Grouped, as an empty partition has no sketch to combine; no group is left of no rows at all.
+    merged = partial.groupBy(F.lit(0).alias("__all")).agg(F.expr(f"approx_top_k_combine(__sketch, {size})").alias("__sketch"))
+    top = merged.select(F.expr(f"approx_top_k_estimate(__sketch, {limits.hot_keys})").alias("top")).first()
+    return [entry["item"] for entry in (top.top if top else None) or [] if entry["count"] >= limits.hot_rows]
 
 
 def _key_hash(rows: DataFrame, lookup: DataFrame, on: list[str]) -> Column:

@@ -87,3 +87,20 @@ def test_unlike_key_types_find_each_other(spark, left, right, limits):
     joined = lookup_join(data, values, ["key"], limits=limits)
     assert joined.count() == 600
     assert joined.where("value = 'v'").count() == 600
+
+
+def test_hot_keys_are_found_with_empty_partitions(spark):
+    rows = spark.range(2_000, numPartitions=3).select((F.col("id") % 4).alias("k"))
+    limits = Limits(hot_rows=400)
+    found = hot_hashes(rows, ["k"], limits)
+    assert len(found) == 4
+    with_empty = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in with_empty}
+    try:
+        for key, value in with_empty.items():
+            spark.conf.set(key, value)
+        assert sorted(hot_hashes(rows, ["k"], limits)) == sorted(found)
+        assert hot_hashes(rows.limit(0), ["k"], limits) == []
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
