@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from namewright.llm.components import components
 from namewright.llm.shingles import WORDS_PER_SHINGLE, mixed, shingle_sets
 
 #: Coordinates of a signature, and how many must agree. A pair of similarity 0.85 has 14 agreeing coordinates of 32 but
-#: for one case in 10^8 (binomial); pairs above are safer still.
+#: for one case in 10^8 (binomial); pairs above are safer still. A pair of similarity 0.80 has 11 but for 3 cases in 10^9.
 COORDINATES = 32
 LEAST_MATCHES = 14
 #: Two documents are linked when 100 * intersection >= PERCENT * union.
@@ -297,15 +297,34 @@ def near_duplicates(
     )
 
 
+def _text_hash(text: Column, other: bool = False) -> Column:
+    return F.xxhash64(F.lit(1), text) if other else F.xxhash64(text)
+
+
+def text_keys(docs: DataFrame, text_col: str) -> Column:
+    """A number that equal texts share and no others, for use in place of an id; a null text counts as empty.
+
+    It is a 64-bit hash. Texts whose hashes agree are told apart by a second one, so 128 bits stand for a text; where
+    one hash stands for several texts, these take their second hash. Such hashes are collected: of 10^10 texts some
+    three are expected, of 10^11 some three hundred.
+    """
+    text = text_or_empty(text_col)
+    both = docs.select(_text_hash(text).alias("key"), _text_hash(text, other=True).alias("other"))
+    shared = both.groupBy("key").agg(F.min("other").alias("a"), F.max("other").alias("b")).where("a <> b").select("key").collect()
+    if not shared:
+        return _text_hash(text)
+    return F.when(_text_hash(text).isin([r.key for r in shared]), _text_hash(text, other=True)).otherwise(_text_hash(text))
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are kept, exactly one row of each component, with all their columns.
 
     That is one with the smallest id; a row with a null id stays where no other has one. Ids may be null or repeated, as
-    documents are compared under a 64-bit hash of their text. Equal texts are first reduced to one row, which costs
+    documents are compared under a number of their text (``text_keys``). Equal texts are first reduced to one row, which costs
     nothing where there are none. Texts without a word are linked with nothing; of such rows with the same id and text
     one stays.
     """
-    key, id_, text = F.xxhash64(text_or_empty(text_col)), quoted(id_col), text_or_empty(text_col)
+    key, id_, text = text_keys(docs, text_col), quoted(id_col), text_or_empty(text_col)
     blank = ~text.rlike(r"[^ \t-\r]")
     each = docs.select(key.alias("key"), id_.alias("id"), blank.alias("blank"), F.when(blank, id_).alias("own"))
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from namewright.llm.common import quoted, table, text_or_empty
 from namewright.llm.tagger import Tagger, train_tagger
@@ -223,7 +224,11 @@ def find_pii(
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
     source = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])
-    schema = f"id {source.schema['id'].dataType.simpleString()}, spans array<struct<kind:string,start:long,end:long,base:boolean>>"
+    kinds = {"kind": T.StringType(), "start": T.LongType(), "end": T.LongType(), "base": T.BooleanType()}
+    spans_type = T.ArrayType(T.StructType([T.StructField(n, t) for n, t in kinds.items()]))
+    schema = T.StructType([source.schema["id"], T.StructField("spans", spans_type)])
+    if with_text:
+        schema = schema.add("redacted", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,8 +254,7 @@ def find_pii(
             names.append("redacted")
         return pa.RecordBatch.from_arrays(columns, names)
 
-    out = source.mapInArrow(run, schema + (", redacted string" if with_text else ""))
-    return out.withColumnRenamed("id", id_col)
+    return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def redacted(text: str | None, spans: list[tuple]) -> str | None:

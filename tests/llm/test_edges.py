@@ -92,3 +92,14 @@ def test_parts_of_messages_are_quotations_too(spark):
     assert {t: p for (c, t), (p, _) in got.items() if c == 1} == {0: None, 1: None, 2: 0, 3: 1, 4: 1, 5: 1, 6: 0, 7: 4, 8: 4}
     assert got[1, 0][1] == rows[0][2] and got[2, 0][1] == rows[-1][2]
     assert got[1, 3][1] == "\nno\n\nwhy?" and got[1, 4][1] == "hi\nwhich?\nsee" and got[1, 8][1] == ""
+
+
+def test_columns_of_any_name_pass_the_pii_stage(spark, folder):
+    names = ["doc_id", "text", "my col", "a.b", "x-y", "n:m", "redacted", "spans", "row", "id"]
+    rows = [(1, "mail me@example.org", 1, "p", 2.5, None, "r", 3, 4, 5), (2, None, None, None, None, 7, None, None, None, None)]
+    kinds = ["long", "string", "int", "string", "double", "long", "string", "int", "int", "int"]
+    docs = spark.createDataFrame(rows, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True)))
+    out = dict(corpus_pipeline.STAGES)["pii"](spark, docs, folder)
+    assert out.schema.names == names and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+    got = sorted(map(tuple, out.collect()))
+    assert got[0] == (1, "mail <EMAIL>", *rows[0][2:]) and got[1] == rows[1]

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from namewright.llm import minhash
 from namewright.llm.components import components
@@ -15,7 +16,7 @@ def _set(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def _brute(rows):
+def _brute(rows, percent=85):
     sets, parent = {i: _set(t) for i, t in rows}, {i: i for i, _ in rows}
 
     def find(x):
@@ -26,7 +27,7 @@ def _brute(rows):
     ids = sorted(sets)
     for k, a in enumerate(ids):
         for b in ids[k + 1 :]:
-            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {(i, len(sets[i]), find(i), find(i) == i) for i in ids}
@@ -70,6 +71,21 @@ def test_same_components_as_brute_force(spark, seed, block):
     assert {r.doc_id for r in kept.collect()} == {i for i, _, _, k in got if k}
 
 
+def test_links_of_similarity_80(spark):
+    rows = _families(3, 25, 8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {tuple(r) for r in minhash.near_duplicates(docs, percent=80, least_matches=11).collect()}
+    assert got == _brute(rows, 80) != _brute(rows)
+
+
+def test_texts_of_one_hash_are_told_apart(spark, monkeypatch):
+    texts = [f"w{k} " * 3 + " ".join(f"t{k}x{i}" for i in range(40)) for k in range(12)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(50, texts[3])], "doc_id long, text string")
+    few = lambda text, other=False: F.xxhash64(F.lit(1), text) if other else F.pmod(F.xxhash64(text), F.lit(3))
+    monkeypatch.setattr(minhash, "_text_hash", few)
+    assert sorted(r.doc_id for r in minhash.drop_near_duplicates(docs).collect()) == list(range(12))
+
+
 def test_repeated_rows_null_ids_and_an_empty_table(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "A B C D E F")]
     got = sorted(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=str)
