@@ -23,8 +23,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
-    return drop_near_duplicates(docs)
+    """Of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id."""
+    return drop_near_duplicates(docs, percent=80, least_matches=11)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
