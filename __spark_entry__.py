@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namewright import standins as st
 from namewright.functions import random_id, stable_id
-from namewright.operators import duplicates, identity, mapping, metrics, reconcile
+from namewright.operators import duplicates, identity, keys, mapping, metrics, reconcile
 from namewright.plans.joins import Limits
 from namewright.plans import run
 from namewright.plans.shared import fresh_path
@@ -234,6 +235,20 @@ def unique_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.key_columns(st.table(spark, sf_dir, "customer"))
 
 
+def composite_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All minimal keys of up to three columns."""
+    found = [
+        keys.composite_keys(st.table(spark, sf_dir, name)).select(F.lit(name).alias("name"), "key", F.size("columns").alias("n_columns"))
+        for name in ("lineitem", "orders")
+    ]
+    return found[0].union(found[1])
+
+
+def dup_report_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every group of every column of customer; the columns that are keys are found and left out."""
+    return duplicates.duplicates_report(st.table(spark, sf_dir, "customer"), infer_keys=True)
+
+
 # Comparing and inserting ----------------------------------------------------------------------------------------------
 
 
@@ -498,6 +513,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         dup_report_keys,
         dup_records,
         unique_columns,
+        composite_keys,
+        dup_report_inferred,
         compare_tables,
         compare_tables_repeated,
         preview_new,
@@ -611,6 +628,28 @@ _ORDER_COLUMNS = [
 ]
 
 
+_KEY_COLUMNS = {
+    "lineitem": (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate",
+    ),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+}
+
+
+def _minimal_keys(table: str, columns: tuple[str, ...]) -> str:
+    """Every set of up to three columns counted; those that are keys and hold no smaller one."""
+    sets = [one for size in (1, 2, 3) for one in combinations(columns, size)]
+    counted = " UNION ALL ".join(
+        f"SELECT {list(one)} AS c, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(one)} FROM {table})) AS n" for one in sets
+    )
+    return f"""
+        SELECT '{table}' AS name, array_to_string(c, ',') AS key, CAST(len(c) AS INTEGER) AS n_columns FROM (
+            WITH counted AS ({counted}), found AS (SELECT c FROM counted WHERE n = (SELECT count(*) FROM {table}))
+            SELECT c FROM found WHERE NOT EXISTS (
+                SELECT 1 FROM found AS part WHERE len(part.c) < len(found.c) AND list_has_all(found.c, part.c)))"""
+
+
 def _dup_columns(table: str, columns: list[str]) -> str:
     """Reported groups of each column, a plain query per column."""
     parts = []
@@ -772,6 +811,16 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{c}' AS column_name, count(DISTINCT {c}) = count(*) AS is_key FROM customer"
             for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
         ),
+        "composite_keys": " UNION ALL ".join(_minimal_keys(name, columns) for name, columns in _KEY_COLUMNS.items()),
+        "dup_report_inferred": _dup_columns(
+            "customer",
+            [
+                ("c_custkey", "CAST(c_custkey AS VARCHAR)"),
+                ("c_name", "lower(c_name)"),
+                ("c_nationkey", "CAST(c_nationkey AS VARCHAR)"),
+                ("c_mktsegment", "lower(c_mktsegment)"),
+            ],
+        ),
         "compare_tables": """
             WITH a AS (
                 SELECT CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN upper(c_name)

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from namewright.functions import SHORT_KEY_CHARS, dup_key, short_key
+from namewright.operators.keys import minimal_keys
 from namewright.plans.joins import DEFAULT_LIMITS, Limits, lookup_join
 from namewright.plans.shared import Settled, settle
 from namewright.sources.tables import require
@@ -102,13 +103,23 @@ def duplicates_report(
     limit: int | None = None,
     ids_per_list: int = IDS_PER_LIST,
     limits: Limits = DEFAULT_LIMITS,
+    infer_keys: bool = False,
 ) -> DataFrame:
     """Values that occur more than once, for every column that is no key: (column, value, count).
 
     All of them, or with ``limit`` the so many largest of each column. With ``id_col`` also (part, ids): the ids of the group, in several
-    lists for a group of more than ``ids_per_list`` rows; together they are all its ids.
+    lists for a group of more than ``ids_per_list`` rows; together they are all its ids. With ``infer_keys`` columns that
+    prove to be keys are found first, from sketches and short hashes, and left out of both passes over the rows.
     """
     checked = _checked_columns(df, columns, keys or [])
+    if checked and infer_keys:
+        compared = df.select(*[v.alias(c) for c, v in _values(df, checked, case_insensitive).items()])
+        unique = {key[0] for key in minimal_keys(compared, max_columns=1)}
+        left = [c for c in checked if c not in unique]
+        if left:
+            checked = left
+        else:
+            df = df.limit(0)
     if not checked:
         raise ValueError("no column to check")
     values = _values(df, checked, case_insensitive)

@@ -35,6 +35,8 @@ class EntityTables:
     output: str = "deduplicated_institutions"
     # Relation tables that repeat the name: table to name column.
     edges: tuple[tuple[str, str], ...] = ()
+    # Columns of the duplicate check; None is all. Keys are left out in any case.
+    checked: list[str] | None = None
 
 
 @dataclass
@@ -115,7 +117,7 @@ def _update_ids(spark: SparkSession, base: str, names: EntityTables, report: Ste
 def _check(spark: SparkSession, base: str, names: EntityTables, report: StepReport) -> None:
     rows = load_table(spark, base, names.output)
     keys = ["id"] if "id" in rows.columns else []
-    found = duplicates_report(rows, keys=keys, id_col=keys[0] if keys else None)
+    found = duplicates_report(rows, keys=keys, columns=names.checked, id_col=keys[0] if keys else None, infer_keys=True)
     report.rows = write_table(found, base, f"{names.output}_duplicates")["rows"]
 
 

@@ -1,3 +1,5 @@
+import itertools
+import random
 from collections import Counter
 
 import pytest
@@ -11,6 +13,8 @@ from namewright.operators.duplicates import (
     is_unique,
     key_columns,
 )
+from namewright.operators import keys as key_search
+from namewright.operators.keys import composite_keys, minimal_keys
 from namewright.plans.joins import DEFAULT_LIMITS
 
 LONG = "Long text " * 20
@@ -141,3 +145,59 @@ def test_all_groups_are_reported_by_default(spark, limits):
     records = duplicate_records(df, columns=["v"], limits=limits)
     assert records.count() == 2400
     assert [r.dup_value for r in records.limit(800).collect()] == ["hot"] * 800
+
+
+def _keys_by_brute_force(data, names, most=3):
+    found = []
+    for size in range(1, most + 1):
+        for one in itertools.combinations(range(len(names)), size):
+            values = [tuple(row[i] for i in one) for row in data]
+            if len(set(values)) == len(data) and None not in itertools.chain(*values) and not any(set(k) <= set(one) for k in found):
+                found.append(one)
+    return [tuple(names[i] for i in one) for one in found]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_minimal_keys_by_brute_force(spark, seed):
+    rng = random.Random(seed)
+    names = ["a", "b b", "c.c", "d", "e", "f"]
+    kinds = [4, 5, 6, 7, 40, 3]
+    data = list({tuple(rng.randrange(k) for k in kinds) for _ in range(rng.choice([30, 60, 300]))})
+    data = [(*row[:5], None if seed == 3 and row[5] == 0 else row[5]) for row in data]
+    df = spark.createDataFrame(data, ", ".join(f"`{n}` int" for n in names))
+    wanted = _keys_by_brute_force(data, names)
+    assert minimal_keys(df) == wanted
+    assert rows(composite_keys(df).select("key")) == sorted([(",".join(k),) for k in wanted], key=repr)
+    assert minimal_keys(df, max_columns=1) == [k for k in wanted if len(k) == 1]
+
+
+def test_keys_of_many_rows_are_searched_in_slices_first(spark, monkeypatch):
+    df = spark.range(30_000).select(
+        (F.col("id") % 300).alias("a"), F.floor(F.col("id") / 300).alias("b"), F.when(F.col("id") == 7, 8).otherwise(F.col("id")).alias("nearly")
+    )
+    df = df.withColumn("x", F.rand(3)).withColumn("map", F.create_map(F.lit(1), F.lit(2)))
+    assert minimal_keys(df, ["a", "b", "nearly"]) == [("a", "b"), ("a", "nearly")]
+    assert minimal_keys(df, ["a", "b"], declared=[["b"]]) == [("b",)]
+    full = []
+    repeated = key_search._repeated
+    monkeypatch.setattr(key_search, "_repeated", lambda d, sets, slices: (full.extend(sets) if slices == 1 else None) or repeated(d, sets, slices))
+    assert ("x",) in minimal_keys(df, max_columns=2) and ("a",) not in full
+
+
+def test_keys_of_odd_tables(spark):
+    df = spark.createDataFrame([(0.0, "a", 1), (-0.0, "b", 1)], "x double, `s.t` string, n int")
+    assert minimal_keys(df) == [("s.t",)]
+    assert minimal_keys(df.limit(0)) == [("x",), ("s.t",), ("n",)]
+    assert minimal_keys(df.union(df)) == []
+    with pytest.raises(ValueError, match="lacks column"):
+        minimal_keys(df, ["nowhere"])
+
+
+def test_columns_that_are_keys_are_left_out_of_the_report(spark, poc):
+    for insensitive in (True, False):
+        plain = rows(duplicates_report(poc, id_col="id", columns=["text1", "text2"], case_insensitive=insensitive))
+        assert rows(duplicates_report(poc, id_col="id", columns=["text1", "text2"], case_insensitive=insensitive, infer_keys=True)) == plain
+    unique = spark.createDataFrame([(1, "x", "Same"), (2, "y", "same")], "id int, a string, b string")
+    assert rows(duplicates_report(unique, infer_keys=True)) == [("b", "same", 2)]
+    none = duplicates_report(unique, columns=["a"], id_col="id", infer_keys=True)
+    assert none.count() == 0 and none.schema == duplicates_report(unique, columns=["a"], id_col="id").schema
