@@ -10,7 +10,7 @@ from pyspark.sql.types import TimestampType
 from namewright.operators.mapping import apply_mapping
 from namewright.operators.metrics import bucket_counts
 from namewright.operators.reconcile import rows_to_insert
-from namewright.plans.shared import delete_folder, folder_names, path_exists, released, settle
+from namewright.plans.shared import path_exists, released, settle
 
 Trigger = dict[str, object]
 
@@ -73,16 +73,15 @@ def throughput_stream(
     watermark: str = "10 minutes",
     final_only: bool = False,
     trigger: Trigger = ONCE,
-    compact_every: int = 100,
 ) -> StreamingQuery:
     """Keep bucket counts up to date in ``out``; read them with latest_buckets().
 
-    Every event counts, however late: a batch writes the counts of its own events to a folder of its own, so there is no
-    state and no watermark, and a repeated batch replaces what it wrote before. Every ``compact_every`` batches the
-    folders before are summed into one.
+    Spark keeps the counts as the state of a streaming aggregation, a row per bucket, without a watermark: every event
+    counts, however late. A batch appends the new counts of the buckets it changed, with its number, so the rows of
+    ``out`` grow with the buckets touched, not with the events. A repeated batch replaces what it wrote before.
 
-    With ``final_only`` a bucket is written once, to ``out`` as plain Parquet, when the ``watermark`` has passed it.
-    Only then are events dropped, those later than the watermark; dropped_late() tells of them.
+    With ``final_only`` a bucket is written once, to ``out`` as plain Parquet, when the ``watermark`` has passed it, and
+    Spark lets go of its state. Only then are events dropped, those later than the watermark; dropped_late() tells of them.
     """
     # A watermark needs a time zone aware column.
     timed = events
@@ -94,15 +93,23 @@ def throughput_stream(
         writer = counts.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         return writer.outputMode("append").trigger(**trigger).start()
 
-    def put(batch: DataFrame, batch_id: int) -> None:
-        bucket_counts(batch, time_col, failed, granularity).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        if batch_id % compact_every == compact_every - 1:
-            _compact(batch.sparkSession, out, batch_id - 1)
+    def put(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    writer = timed.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    counts = bucket_counts(timed, time_col, failed, granularity)
+    writer = counts.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
 
 
+def latest_buckets(spark: SparkSession, out: str) -> DataFrame:
+    """The count of every bucket so far: (t, count, errors). Of what was written for a bucket the last batch stands."""
+    if not path_exists(spark, out):
+        return spark.createDataFrame([], BUCKET_FIELDS)
+    written = spark.read.schema(f"{BUCKET_FIELDS}, batch bigint").parquet(out)
+    newest = F.max(F.struct("batch", "count", "errors")).alias("newest")
+    return written.groupBy("t").agg(newest).select("t", "newest.count", "newest.errors")
+
+
 def dropped_late(query: StreamingQuery) -> int:
     """Groups of late events that a ``final_only`` stream left out, in the progress reports that Spark still holds.
 
@@ -110,34 +117,3 @@ def dropped_late(query: StreamingQuery) -> int:
     ``spark.sql.streaming.numRecentProgressUpdates`` reports; a listener that adds them up as they come sees all.
     """
     return sum(op.numRowsDroppedByWatermark for report in query.recentProgress for op in report.stateOperators)
-
-
-def _folders(spark: SparkSession, out: str) -> set[tuple[str, int]]:
-    """("batch", n): the counts of batch n; ("upto", n): the finished sum of all batches up to n."""
-    named = [name.split("=") for name in folder_names(spark, out) if name.startswith(("batch=", "upto="))]
-    found = {(kind, int(n)) for kind, n in named}
-    return {(kind, n) for kind, n in found if kind == "batch" or path_exists(spark, f"{out}/upto={n}/_SUCCESS")}
-
-
-def _summed(spark: SparkSession, out: str, found: set[tuple[str, int]]) -> DataFrame:
-    base = max((n for kind, n in found if kind == "upto"), default=-1)
-    counted = [f"{out}/{kind}={n}" for kind, n in found if (kind == "batch" and n > base) or (kind, n) == ("upto", base)]
-    counts = spark.read.schema(BUCKET_FIELDS).parquet(*counted) if counted else spark.createDataFrame([], BUCKET_FIELDS)
-    return counts.groupBy("t").agg(F.sum("count").alias("count"), F.sum("errors").alias("errors"))
-
-
-def _compact(spark: SparkSession, out: str, last: int) -> None:
-    """Sum all batches up to ``last``. What an earlier sum covers goes, so a reader has until the next time to finish."""
-    found = {(kind, n) for kind, n in _folders(spark, out) if n <= last}
-    earlier = max((n for kind, n in found if kind == "upto" and n < last), default=-1)
-    if ("upto", last) not in found:
-        _summed(spark, out, found).write.mode("overwrite").parquet(f"{out}/upto={last}")
-    if path_exists(spark, f"{out}/upto={last}/_SUCCESS"):
-        for kind, n in found:
-            if n <= earlier and (kind, n) != ("upto", earlier):
-                delete_folder(spark, f"{out}/{kind}={n}")
-
-
-def latest_buckets(spark: SparkSession, out: str) -> DataFrame:
-    """The count of every bucket so far: (t, count, errors)."""
-    return _summed(spark, out, _folders(spark, out))
