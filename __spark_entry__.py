@@ -398,6 +398,41 @@ def reindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.flatten_json(index, "_source", "c_custkey bigint, c_mktsegment string")
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """Properties of events as JSON lines, some of them broken, some nested, some empty; the folder of the two tables."""
+    path, base = fresh_path(spark, "json-lines"), fresh_path(spark, "tables")
+    key = F.col("event_id")
+    nested = F.concat(F.lit('{"id":'), key, F.lit(',"props":'), F.col("props"), F.lit(',"tags":["a",'), key % 3, F.lit("]}"))
+    line = F.when(key % 50 == 7, F.concat(F.lit('{"id":'), key, F.lit(',"props":'))).when(key % 97 == 0, " ").otherwise(nested)
+    st.table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    documents.land_documents(spark, path, base, "raw")
+    return base
+
+
+def land_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of the documents that could be parsed, one row per tag; a tag that is no number is null as one."""
+    rows = tables.load_table(spark, _landed(spark, sf_dir), "raw")
+    rows = documents.variant_fields(rows, "data", {"id": ("$.id", "bigint"), "k": ("$.props.k", "bigint"), "tags": ("$.tags", "variant")})
+    return documents.variant_fields(rows, "tags", {"tag": ("$", "string"), "tag_number": ("$", "int")}, explode="$")
+
+
+def land_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.load_table(spark, _landed(spark, sf_dir), "raw_rejects")
+
+
+def reindex_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index in buckets loaded three times: all customers, suppliers over some of them, a few customers twice."""
+    customer = st.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    supplier = st.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_mktsegment"))
+    few = customer.filter("c_custkey % 100 = 1")
+    base = fresh_path(spark, "tables")
+    for rows in (customer, supplier, few.withColumn("c_mktsegment", F.lit("A")).union(few.withColumn("c_mktsegment", F.lit("B")))):
+        source = F.to_json(F.struct("c_custkey", "c_mktsegment"))
+        docs = rows.select(F.col("c_custkey").cast("string").alias("_id"), source.alias("_source"))
+        documents.update_index(spark, base, "customers", docs)
+    return documents.flatten_json(documents.load_index(spark, base, "customers"), "_source", "c_custkey bigint, c_mktsegment string")
+
+
 def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.list_tables(spark, sf_dir)
 
@@ -531,6 +566,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         flatten_props,
         index_documents,
         reindex,
+        reindex_buckets,
+        land_events,
+        land_rejects,
         list_tables,
         stream_canonicalise,
         stream_insert_missing,
@@ -925,6 +963,20 @@ def oracle_sql() -> dict[str, str]:
         "index_documents": """
             SELECT p_name || ' ' || p_brand AS _id, p_name || ' ' || p_brand AS institution, p_partkey, p_type, p_size
             FROM part QUALIFY row_number() OVER (PARTITION BY p_name || ' ' || p_brand ORDER BY p_partkey DESC) = 1""",
+        "reindex_buckets": """
+            SELECT CAST(coalesce(s_suppkey, c_custkey) AS VARCHAR) AS _id, coalesce(s_suppkey, c_custkey) AS c_custkey,
+                   CASE WHEN c_custkey % 100 = 1 THEN 'B' ELSE coalesce(s_name, c_mktsegment) END AS c_mktsegment
+            FROM customer FULL JOIN supplier ON c_custkey = s_suppkey""",
+        "land_events": """
+            WITH good AS (
+                SELECT event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+                WHERE event_id % 50 <> 7 AND event_id % 97 <> 0)
+            SELECT id, k, 'a' AS tag, CAST(NULL AS INTEGER) AS tag_number FROM good
+            UNION ALL SELECT id, k, CAST(id % 3 AS VARCHAR), CAST(id % 3 AS INTEGER) FROM good""",
+        "land_rejects": """
+            SELECT CASE WHEN event_id % 50 = 7 THEN 'malformed' ELSE 'blank' END AS reason,
+                   CASE WHEN event_id % 50 = 7 THEN '{"id":' || event_id || ',"props":' ELSE ' ' END AS raw
+            FROM events WHERE event_id % 50 = 7 OR event_id % 97 = 0""",
         "list_tables": " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in _TABLES),
         "stream_insert_missing": "SELECT user_id, min(event_type) AS event_type FROM events GROUP BY 1",
         "stream_throughput": _HOURLY,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from itertools import combinations
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +14,12 @@ from namewright.sources.tables import require
 
 Columns = tuple[str, ...]
 
-# Sketches in one pass over the rows.
-_SKETCHES = 60
-# A set whose estimated distinct rows are below this share of all rows is no key; the sketch is some 30 times as exact.
+# A column whose estimated distinct values are below this share of all rows is no key; the sketch is some 30 times as exact.
 _LIKELY = 0.5
-# The first look for repeats takes the rows whose hash is 0 modulo this: a repeat among them rules a set out.
-_SLICES = 64
+# Repeats are looked for among so many rows first, then among a 64th and an 8th of all: those whose hash is 0 modulo a
+# number. A repeat there rules a set out; the slice is one of values, so rows that agree are all in it or none.
+_FIRST_ROWS = 1_000_000
+_SLICES = (64, 8)
 
 
 def _value(df: DataFrame, name: str) -> Column:
@@ -27,16 +28,6 @@ def _value(df: DataFrame, name: str) -> Column:
     return F.when(col == 0, F.lit(0.0)).otherwise(col) if isinstance(df.schema[name].dataType, (DoubleType, FloatType)) else col
 
 
-def _estimates(df: DataFrame, sets: list[Columns]) -> dict[Columns, float]:
-    found: dict[Columns, float] = {}
-    for begin in range(0, len(sets), _SKETCHES):
-        some = sets[begin : begin + _SKETCHES]
-        hashes = [F.xxhash64(*[_value(df, c) for c in one]) for one in some]
-        sketched = df.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(h)).alias(f"s{i}") for i, h in enumerate(hashes)]).first()
-        found.update(zip(some, sketched, strict=True))
-    return found
-
-
 def _repeated(df: DataFrame, sets: list[Columns], slices: int) -> set[Columns]:
     """The sets in which two rows agree; with ``slices`` only rows of one slice of the values are looked at.
 
@@ -44,11 +35,14 @@ def _repeated(df: DataFrame, sets: list[Columns], slices: int) -> set[Columns]:
     """
     if not sets:
         return set()
-    hashed = []
-    for i, one in enumerate(sets):
-        values = [_value(df, c) for c in one]
-        hashed.append(F.struct(F.lit(i).alias("i"), F.xxhash64(*values).alias("a"), F.xxhash64(F.lit(i), *values).alias("b")))
-    each = df.select(F.inline(F.array(*hashed)))
+    names = sorted({c for one in sets for c in one})
+    # Two hashes of every column once; then for each set the two hashes of its columns' hashes.
+    hashes = df.select(*[F.array(*[F.xxhash64(F.lit(k), _value(df, c)) for c in names]).alias(f"__h{k}") for k in (0, 1)])
+    width = max(map(len, sets))
+    wanted = [F.struct(*[F.lit(v) for v in (i, *(names.index(c) for c in one), *[-1] * (width - len(one)))]) for i, one in enumerate(sets)]
+    places = [f"__c{k}" for k in range(width)]
+    each = hashes.select("*", F.inline(F.array(*wanted)).alias("i", *places))
+    each = each.select("i", *[F.xxhash64(F.col("i"), *[F.get(f"__h{k}", F.col(c)) for c in places]).alias(n) for k, n in enumerate("ab")])
     if slices > 1:
         each = each.filter(F.pmod(F.col("a"), F.lit(slices)) == 0)
     counts = each.groupBy("i", "a", "b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -61,9 +55,9 @@ def minimal_keys(
     """All sets of up to ``max_columns`` columns that tell every row apart and hold no smaller such set, in column order.
 
     A column with a null is in no key. The lattice of column sets is searched level by level. A set is left out if it
-    holds a key already found or ``declared``, if the distinct values of its parts multiplied fall short of the rows,
-    or if a fixed-size sketch of its own does. The few left are looked at in a 64th of their values first; only those
-    without a repeat there are grouped in full, by 128-bit hashes, in one shuffle a level.
+    holds a key already found or ``declared``, or if the distinct values of its columns, estimated by fixed-size sketches
+    in one pass, multiplied fall short of the rows. The others are looked at in slices of their values first; only
+    those without a repeat there are grouped in full, by 128-bit hashes, in one shuffle a level.
 
     In an empty table every column is a key. Repeated rows leave no key. Without ``columns`` all are taken but maps, which
     cannot be compared; for a wide table name the columns, as the sets of three grow with the cube of their number.
@@ -73,21 +67,15 @@ def minimal_keys(
     names = columns if columns is not None else [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
     if not names:
         return keys
-    counted = df.agg(F.count(F.lit(1)), *[F.count(f"`{c}`") for c in names]).first()
-    rows = counted[0]
-    names = [c for c, n in zip(names, counted[1:], strict=True) if n == rows]
-    distinct: dict[Columns, float] = {}
+    seen = [F.count(F.lit(1)), *[F.count(f"`{c}`") for c in names]]
+    seen += [F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(_value(df, c)))) for c in names]
+    rows, *counted = df.agg(*seen).first()
+    distinct = dict(zip(names, counted[len(names) :], strict=True))
+    names = [c for c, n in zip(names, counted, strict=False) if n == rows]
     for size in range(1, max_columns + 1):
         sets = [one for one in combinations(names, size) if not any(set(key) <= set(one) for key in keys)]
-        if size > 1:
-            # A set has no more distinct rows than two parts of it multiplied; both estimates may be a little low.
-            most = {s: min(1.2 * distinct[s[:k] + s[k + 1 :]] * distinct[(s[k],)] for k in range(size)) for s in sets}
-            distinct |= most
-            sets = [s for s in sets if most[s] >= rows]
-        own = _estimates(df, sets)
-        distinct |= own
-        likely = [one for one in sets if own[one] >= _LIKELY * rows]
-        for slices in (_SLICES, 1):
+        likely = [one for one in sets if prod(distinct[c] for c in one) >= _LIKELY * rows]
+        for slices in sorted({1, *_SLICES, max(_SLICES[0], rows // _FIRST_ROWS)}, reverse=True):
             repeated = _repeated(df, likely, slices)
             likely = [one for one in likely if one not in repeated]
         keys += likely

@@ -1,7 +1,8 @@
 import json
+import os
 
 import pytest
-from helpers import plan, rows, same
+from helpers import SHUFFLED, TIGHT, plan, rows, same
 from pyspark.sql import functions as F
 
 from namewright.functions import (
@@ -15,6 +16,7 @@ from namewright.functions import (
     stable_id,
 )
 from namewright.plans import shared
+from namewright.sources import documents, tables
 from namewright.sources.documents import flatten_json, index_documents, land_json, write_documents
 from namewright.sources.tables import (
     MissingTable,
@@ -164,3 +166,60 @@ def test_short_keys_are_equal_when_the_texts_are(spark):
 def test_iso_time(spark):
     shown = spark.sql("SELECT TIMESTAMP '2026-01-05 12:00:00' AS t").select(iso_utc(F.col("t"))).first()[0]
     assert shown == "2026-01-05T12:00:00Z"
+
+
+def _files(folder):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def test_an_index_in_buckets_rewrites_only_what_a_load_touches(spark, folder):
+    numbers = spark.range(3_000)
+    shape = [F.col("id").cast("string").alias("_id"), F.concat(F.lit('{"v":'), "id", F.lit("}")).alias("_source")]
+    docs = numbers.select(*shape)
+    assert documents.update_index(spark, folder, "people", docs, buckets=200) == {"rows": 3000, "buckets": 200}
+    before = _files(f"{folder}/people")
+    few = numbers.filter("id % 100 = 3").select(*shape).withColumn("_source", F.lit('{"v":-1}'))
+    new = spark.createDataFrame([("new", "a"), ("new", "c"), ("new", "b"), ("3", '{"v":-2}'), ("3", '{"v":-1}')], "_id string, _source string")
+    found = documents.update_index(spark, folder, "people", few.union(new), buckets=7)
+    bucket = F.pmod(F.xxhash64("_id"), F.lit(200))
+    touched = {r[0] for r in few.union(new).select(bucket).distinct().collect()}
+    assert found["buckets"] == len(touched) < 40
+    after = _files(f"{folder}/people")
+    changed = {int(path.split("bucket=")[1].split("/")[0]) for path, _ in set(before.items()) ^ set(after.items())}
+    assert changed == touched
+    got = {r._id: r._source for r in documents.load_index(spark, folder, "people").collect()}
+    wanted = {str(i): f'{{"v":{-1 if i % 100 == 3 else i}}}' for i in range(3_000)} | {"new": "c", "3": '{"v":-2}'}
+    assert got == wanted
+    assert documents.update_index(spark, folder, "people", new.limit(0)) == {"rows": 0, "buckets": 0}
+    assert _files(f"{folder}/people") == after
+    with pytest.raises(tables.MissingTable):
+        documents.load_index(spark, folder, "nobody")
+
+
+@pytest.mark.parametrize("limits", [SHUFFLED, TIGHT], ids=["shuffled", "hot"])
+def test_repeated_ids_of_an_index_by_shuffle(spark, folder, limits):
+    docs = spark.range(400).select(F.when(F.col("id") < 200, "hot").otherwise(F.col("id").cast("string")).alias("_id"), F.col("id").cast("string").alias("_source"))
+    documents.update_index(spark, folder, "x", docs, 4, limits)
+    documents.update_index(spark, folder, "x", docs.filter("_source < 150"), 4, limits)
+    got = {r._id: r._source for r in documents.load_index(spark, folder, "x").collect()}
+    wanted = {str(i): str(i) for i in range(200, 400)} | {"hot": max(str(i) for i in range(150))}
+    assert got == wanted
+
+
+def test_documents_that_cannot_be_parsed_are_kept_apart(spark, folder):
+    lines = ['{"a": 1, "items": [{"n": "x"}, {"n": 2}]}', "", "  ", '{"a": ', "not json", '{"a": "text", "items": []}', "[1, 2]", "7", '{"items": {"n": 1}}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{folder}/in")
+    assert documents.land_documents(spark, f"{folder}/in", folder, "raw") == {"rows": 5, "rejects": 4}
+    bad = tables.load_table(spark, folder, "raw_rejects")
+    assert sorted(map(tuple, bad.select("raw", "reason").collect())) == sorted(
+        [("", "blank"), ("  ", "blank"), ('{"a": ', "malformed"), ("not json", "malformed")]
+    )
+    good = tables.load_table(spark, folder, "raw")
+    assert good.columns == ["data"]
+    fields = documents.variant_fields(good, "data", {"a": ("$.a", "int"), "text": ("$.a", "string"), "items": ("$.items", "variant")})
+    assert sorted(map(str, fields.select("a", "text").collect())) == sorted(
+        ["Row(a=1, text='1')", "Row(a=None, text='text')"] + ["Row(a=None, text=None)"] * 3
+    )
+    items = documents.variant_fields(fields, "items", {"n": ("$.n", "string")}, explode="$")
+    assert sorted((r.text, r.n) for r in items.filter("text IS NOT NULL").collect() if r.n) == [("1", "2"), ("1", "x")]
+    assert items.count() == 6
