@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from namewright import standins as st
 from namewright.functions import random_id, stable_id
-from namewright.operators import duplicates, identity, keys, mapping, metrics, reconcile
+from namewright.operators import duplicates, identity, keys, mapping, merge, metrics, reconcile
 from namewright.plans.joins import Limits
 from namewright.plans import run
 from namewright.plans.shared import fresh_path
@@ -64,6 +64,37 @@ def mapping_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.upsert(target, updates, ["original"], "_ord")
 
 
+def _merged(spark: SparkSession, sf_dir: str, limits: Limits) -> DataFrame:
+    """Customers are known with their segment; all of a third, spelled as before or not, and some new ones arrive."""
+    customer = st.table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    target = customer.select("c_custkey", "c_mktsegment", F.col("c_name").alias("name")).filter(key % 5 != 0)
+    segment = F.when(key % 2 == 0, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
+    updates = customer.filter(key % 3 == 0).select("c_custkey", segment.alias("c_mktsegment"), F.lit(2).alias("ord"))
+    earlier = updates.select("c_custkey", F.lit("earlier").alias("c_mktsegment"), F.lit(1).alias("ord"))
+    return merge.merge(target, updates.union(earlier), ["c_custkey"], "ord", limits)
+
+
+def merge_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row after a merge with what was done to it; by a full outer join."""
+    return _merged(spark, sf_dir, _TIGHT)
+
+
+def merge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.merge_report(_merged(spark, sf_dir, Limits()))
+
+
+def remap_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Institutions mapped by half of the mapping, then brought to the whole of it where names differ."""
+    part = st.table(spark, sf_dir, "part")
+    names = st.institution_mapping(part)
+    half = names.filter(F.pmod(F.crc32("original"), F.lit(2)) == 0)
+    out = fresh_path(spark, "remapped")
+    mapping.apply_mapping(st.institution(part), half, "institution", st.as_of(), PASSTHROUGH).write.parquet(out)
+    merge.remap_changed(spark, out, half, names, "institution", st.as_of())
+    return spark.read.parquet(out)
+
+
 def mapping_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part stands for the part of half its number, but for those that end a chain."""
     key = F.col("p_partkey")
@@ -525,6 +556,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         mapping_validate,
         mapping_split_pairs,
         mapping_upsert,
+        merge_tagged,
+        merge_report,
+        remap_changed,
         mapping_chains,
         mapping_chains_long,
         mapping_load_folder,
@@ -700,6 +734,17 @@ def _dup_columns(table: str, columns: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+_MERGED = """
+            WITH target AS (SELECT c_custkey, c_mktsegment, c_name AS name FROM customer WHERE c_custkey % 5 <> 0),
+            updates AS (
+                SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS segment
+                FROM customer WHERE c_custkey % 3 = 0),
+            merged AS (
+                SELECT coalesce(c_custkey, k) AS c_custkey, coalesce(segment, c_mktsegment) AS c_mktsegment, name,
+                       CASE WHEN k IS NULL THEN 'kept' WHEN c_custkey IS NULL THEN 'inserted'
+                            WHEN segment <> c_mktsegment THEN 'updated' ELSE 'unchanged' END AS "_action"
+                FROM target FULL JOIN updates ON c_custkey = k)"""
+
 _HOURLY = """
             SELECT date_trunc('hour', ts) AS t, count(*) AS count,
                    count(*) FILTER (WHERE event_type = 'error') AS errors
@@ -747,6 +792,9 @@ def oracle_sql() -> dict[str, str]:
                 WHERE r = 1)
             SELECT * FROM target WHERE original NOT IN (SELECT original FROM updates)
             UNION ALL SELECT * FROM updates""",
+        "merge_tagged": f"{_MERGED} SELECT * FROM merged",
+        "merge_report": f'{_MERGED} SELECT "_action" AS action, count(*) AS rows FROM merged GROUP BY 1',
+        "remap_changed": f"WITH {_NAMES} SELECT * FROM canonical",
         "mapping_chains": """
             WITH RECURSIVE walk AS (
                 SELECT p_partkey AS start, p_partkey AS at_ FROM part

@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 
 from namewright.operators.duplicates import duplicates_report
 from namewright.operators.identity import assign_ids, enrich, ensure_columns, unify_ids
-from namewright.operators.mapping import apply_mapping, upsert
+from namewright.operators.mapping import apply_mapping
+from namewright.operators.merge import ACTION, ACTIONS, action_counts, merge
 from namewright.plans.shared import path_exists, settle
 from namewright.sources.mapping_csv import load_mapping, split_rejects
 from namewright.sources.tables import load_table, require, table_exists, write_table
 
+# Repaired records shown in a report.
+FIXED_EXAMPLES = 5
+
 RUN_LOG = "run_log"
 RUN_LOG_FIELDS = "time timestamp, job_id string, component string, success boolean, message string, rows bigint"
 
@@ -66,11 +70,18 @@ def _load_mapping(
         report.rows = load_table(spark, base, names.mapping).count()
         report.details["skipped"] = ["no file given; the stored mapping stays"]
         return
-    accepted, rejected = split_rejects(settle(load_mapping(spark, csv, multi_line=multi_line), "mapping-file").df)
+    parsed = settle(load_mapping(spark, csv, multi_line=multi_line), "mapping-file", repaired=F.count_if("repaired"))
+    accepted, rejected = split_rejects(parsed.df)
     report.details["rejected"] = write_table(rejected, base, f"{names.mapping}_rejects")["rows"]
+    report.details["auto_fixed"] = parsed.measures["repaired"]
+    if parsed.measures["repaired"]:
+        examples = parsed.df.filter("repaired").orderBy("_ord").select("original", "normalized").limit(FIXED_EXAMPLES)
+        report.details["auto_fixed_examples"] = [row.asDict() for row in examples.collect()]
     target = load_table(spark, base, names.mapping) if table_exists(spark, base, names.mapping) else None
-    updates = accepted.select("original", "normalized", "_ord")
-    report.rows = write_table(upsert(target, updates, ["original"], "_ord"), base, names.mapping)["rows"]
+    merged = merge(target, accepted.select("original", "normalized", "_ord"), ["original"], "_ord")
+    found = write_table(merged, base, names.mapping, hidden=(ACTION,), **action_counts())
+    report.rows = found["rows"]
+    report.details.update({action: found[action] for action in ACTIONS})
 
 
 def _apply(spark: SparkSession, base: str, names: EntityTables, as_of: Column, report: StepReport) -> None:
