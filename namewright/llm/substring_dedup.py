@@ -22,7 +22,7 @@ LOWER = {c: c + 32 for c in range(65, 91)}
 #: Repeated units are removed where they and their repeated neighbours have this many words together.
 MIN_WORDS = 20
 #: Bytes of text that are hashed together.
-TEXT_BYTES = 4_000_000
+TEXT_BYTES = 1_000_000
 #: A digest with more than this share of all units is hot; the sketch that looks for them finds all such.
 HOT_SHARE = 2_800
 HOT_LEAST = 1_000
@@ -32,7 +32,7 @@ class Marks(dict):
     """Whether a word is marked: it ends a sentence, or its MD5 begins with the digit 0 or 8 (one word in eight)."""
 
     def __missing__(self, word: str) -> bool:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = marked = word[-1] in ".!?" or hashlib.md5(word.encode()).hexdigest()[0] in "08"
         return marked
