@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +24,8 @@ LOWER = {c: c + 32 for c in range(65, 91)}
 MIN_WORDS = 20
 #: Bytes of text that are hashed together.
 TEXT_BYTES = 1_000_000
-#: A digest with more than this share of all units is hot; the sketch that looks for them finds all such.
-HOT_SHARE = 2_800
+#: A digest with more than one in so many of all units is hot; the sketch that looks for them finds all such.
+HOT_SHARE = 500
 HOT_LEAST = 1_000
 
 
@@ -101,6 +102,19 @@ def units(docs: DataFrame, id_col: str, text_col: str, unit: str, row_col: str |
     return source.mapInArrow(run, T.StructType([T.StructField(n, t, n == "id") for n, t in fields.items()]))
 
 
+def hot_firsts(each: DataFrame, hot: list[int], rank: list[Column]) -> dict[int, Column]:
+    """The first unit of each hot digest, by its upper part; fewer than HOT_SHARE of them, aggregated before a shuffle.
+
+    Should two digests share the upper part, both are left to the others.
+    """
+    if not hot:
+        return {}
+    found = each.where(F.col("high").isin(hot)).groupBy("high", "low").agg(F.min(F.struct(*rank)).alias("first")).collect()
+    alone = Counter(r.high for r in found)
+    place = lambda f: F.struct(F.lit(f.id).cast("long").alias("id"), F.lit(f.row).alias("row"), F.lit(f.start).alias("start"))
+    return {r.high: place(r.first) for r in found if alone[r.high] == 1}
+
+
 def repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -118,8 +132,8 @@ def repeats(
     the end excluded; ``keep_*`` name the occurrence that stays.
 
     Texts are hashed once, to a written table of a row per document. Units are then shuffled once, by digest, and
-    each finds the first of its digest in the order of the sort. Digests that own a large share of all units are
-    found by a sketch first; their first occurrences are aggregated before a shuffle and sent to the units, which
+    each finds the first of its digest in the order of the sort. The few digests that own a large share of all units are
+    found by a sketch first; their first occurrences are aggregated before a shuffle and told to the units, which
     stay where they are. Only repeats are shuffled again, by row.
 
     Rows of ``docs`` are told apart by ``row`` (a number that ``row_col`` may give), so null and repeated ids are documents of their own: rows of one id go by
@@ -136,13 +150,17 @@ def repeats(
     rank = [F.col("id").isNull().alias("none"), F.col("id"), F.col("row"), F.col("start")]
     columns = ["row", "id", "no", "start", "end", "words", "keep"]
 
+    firsts = hot_firsts(each, hot, rank)
+    is_hot = F.col("high").isin(list(firsts))
+
     order = Window.partitionBy("high", "low").orderBy(*rank)
-    found = each.where(~F.col("high").isin(hot)).withColumn("k", F.row_number().over(order))
+    found = each.where(~is_hot) if firsts else each
+    found = found.withColumn("k", F.row_number().over(order))
     found = found.withColumn("keep", F.first(F.struct("id", "start")).over(order)).where("k > 1").select(*columns)
-    if hot:
-        same = each.where(F.col("high").isin(hot))
-        first = written(same.groupBy("high", "low").agg(F.min(F.struct(*rank)).alias("first")), "hot-units", few_files=True)
-        same = same.join(F.broadcast(first), ["high", "low"]).where(F.struct(*rank) != F.col("first"))
+    if firsts:
+        known = F.create_map(*[F.lit(x) if i % 2 == 0 else x for one in firsts.items() for i, x in enumerate(one)])
+        same = each.where(is_hot).withColumn("first", known[F.col("high")])
+        same = same.where((F.col("row") != F.col("first.row")) | (F.col("start") != F.col("first.start")))
         found = found.union(same.withColumn("keep", F.struct("first.id", "first.start")).select(*columns))
     place = Window.partitionBy("row").orderBy("no")
     runs = found.withColumn("run", F.col("no") - F.row_number().over(place))
