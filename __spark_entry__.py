@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namewright import standins as st
-from namewright.functions import random_id, stable_id
+from namewright.functions import iso_utc, random_id, stable_id
 from namewright.operators import duplicates, identity, keys, mapping, merge, metrics, reconcile
 from namewright.plans.joins import Limits
 from namewright.plans import run
@@ -402,6 +403,12 @@ def component_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.component_status(st.step_log(st.table(spark, sf_dir, "events")), degraded_above=0.25)
 
 
+def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The times of orders, taken as UTC, as ISO-8601 text."""
+    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', o_orderdate)")
+    return st.table(spark, sf_dir, "orders").select("o_orderkey", iso_utc(F.timestamp_seconds(seconds)).alias("ordered_at"))
+
+
 # Documents and tables -------------------------------------------------------------------------------------------------
 
 
@@ -516,17 +523,21 @@ def stream_throughput_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Text corpora: these folders may be absent ---------------------------------------------------------------------------
 
 
+def _registry_there() -> bool:
+    """Whether the registry is to be found; a folder left over without modules counts as none."""
+    try:
+        return find_spec("namewright.llm.registry") is not None
+    except ModuleNotFoundError:
+        return False
+
+
 def _corpus():
     """The subpackage and the pipeline, or nothing where they have been taken out; other import errors are raised."""
     try:
         import corpus_pipeline
         from namewright.llm import registry
-    except ModuleNotFoundError as error:
-        if error.name in ("corpus_pipeline", "namewright.llm", "namewright.llm.registry"):
-            return None
-        raise
     except ImportError as error:
-        if error.name == "namewright.llm":
+        if error.name == "corpus_pipeline" or not _registry_there():
             return None
         raise
     return registry, corpus_pipeline
@@ -597,6 +608,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         throughput_summary,
         recent_errors,
         component_status,
+        iso_times,
         flatten_props,
         index_documents,
         reindex,
@@ -1006,6 +1018,7 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN count(*) FILTER (WHERE event_type = 'error') / count(*) > 0.25 THEN 'DEGRADED'
                         ELSE 'OK' END AS status
             FROM events GROUP BY 1""",
+        "iso_times": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS ordered_at FROM orders",
         "random_ids": "SELECT c_custkey, 'i:' AS prefix, 10 AS id_length, true AS is_hex FROM customer",
         "flatten_props": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
         "index_documents": """
