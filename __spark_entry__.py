@@ -493,6 +493,24 @@ def stream_canonicalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows")
 
 
+def stream_canonicalise_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the orders have one name; the mapping counts as too large for a broadcast."""
+    history = st.order_names(st.table(spark, sf_dir, "orders"))
+    names = st.order_mapping(st.table(spark, sf_dir, "customer"))
+    out = fresh_path(spark, "stream-canonicalise")
+    jobs.canonicalise_stream(
+        st.order_names(_stream(spark, sf_dir, "orders")),
+        names,
+        "name",
+        f"{out}/rows",
+        f"{out}/checkpoint",
+        st.as_of(),
+        history=history,
+        limits=Limits(broadcast_rows=0, broadcast_bytes=0, hot_rows=100),
+    ).awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
 def stream_insert_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = _stream(spark, sf_dir, "events").select("user_id", "event_type")
     out = fresh_path(spark, "stream-insert")
@@ -617,6 +635,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         land_rejects,
         list_tables,
         stream_canonicalise,
+        stream_canonicalise_hot,
         stream_insert_missing,
         stream_throughput,
         stream_throughput_late,
@@ -1039,6 +1058,17 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN event_id % 50 = 7 THEN '{"id":' || event_id || ',"props":' ELSE ' ' END AS raw
             FROM events WHERE event_id % 50 = 7 OR event_id % 97 = 0""",
         "list_tables": " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in _TABLES),
+        "stream_canonicalise_hot": """
+            WITH named AS (
+                SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'unknown buyer' ELSE 'buyer ' || o_custkey END AS name
+                FROM orders),
+            names AS (
+                SELECT 'buyer ' || c_custkey AS original, c_name AS normalized FROM customer WHERE c_custkey % 4 <> 0
+                UNION SELECT 'unknown buyer', 'Unknown')
+            SELECT o_orderkey, coalesce(normalized, name) AS name, name AS original_name,
+                   normalized IS NOT NULL AS was_deduplicated,
+                   CASE WHEN normalized IS NOT NULL THEN TIMESTAMP '2024-06-01' END AS deduplication_timestamp
+            FROM named LEFT JOIN names ON name = original""",
         "stream_insert_missing": "SELECT user_id, min(event_type) AS event_type FROM events GROUP BY 1",
         "stream_throughput": _HOURLY,
         "stream_throughput_late": _HOURLY,

@@ -56,15 +56,20 @@ def apply_mapping(
     passthrough: list[str] | None = None,
     fold: bool = False,
     limits: Limits = DEFAULT_LIMITS,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Replace the names in ``col`` by their mapped form and say what was done to each row.
 
     Rows without a name are dropped. The match is exact, case and outer blanks included, and takes one hop; unmatched
     rows stay as they are. Adds ``original_<col>``, ``was_deduplicated`` and ``deduplication_timestamp``; the other
     columns pass through (all, or those named). With ``fold`` a name that has no exact match is tried again by its
-    comparison key; where folded originals disagree the greatest target stands.
+    comparison key; where folded originals disagree the greatest target stands. ``history`` holds names like those of
+    a stream in ``col``; its hot names are split over tasks (see salted_join()).
     """
     require(rows, [col, *(passthrough or [])], "rows")
+    if history is not None:
+        require(history, [col], "history")
+        history = history.filter(not_blank(F.col(col))).select(col)
     require(mapping, ["original", "normalized"], "mapping")
     others = passthrough if passthrough is not None else [c for c in rows.columns if c != col]
     targets = _unique_targets(mapping)
@@ -72,13 +77,14 @@ def apply_mapping(
 
     named = rows.filter(not_blank(F.col(col)))
     exact = targets.select(F.col("original").alias(col), F.col("normalized").alias("__target"))
-    joined = lookup_join(named, exact, [col], small=small, limits=limits)
+    joined = lookup_join(named, exact, [col], small=small, limits=limits, history=history)
     target = F.col("__target")
     if fold:
         by_key = targets.groupBy(norm_key(F.col("original")).alias("__folded"))
         folded = by_key.agg(F.max("normalized").alias("__folded_target"))
         keyed = joined.withColumn("__folded", norm_key(F.col(col)))
-        joined = lookup_join(keyed, folded, ["__folded"], small=small, limits=limits)
+        keys = None if history is None else history.select(norm_key(F.col(col)).alias("__folded"))
+        joined = lookup_join(keyed, folded, ["__folded"], small=small, limits=limits, history=keys)
         target = F.coalesce(target, F.col("__folded_target"))
     return joined.select(
         F.coalesce(target, F.col(col)).alias(col),

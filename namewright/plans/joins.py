@@ -7,12 +7,16 @@ A lookup is unique on its key. Three ways to join rows with it, chosen by measur
 * it is large and some keys are hot: rows of hot keys meet the few lookup rows of those keys by broadcast and are
   never shuffled; all others take the shuffle join. Both branches together are the whole result.
 
+Rows of a stream cannot be counted before they come. For them keys are found hot in a static history, and their lookup
+rows are salted: see salted_join().
+
 A large lookup is settled first. It is then built once for both branches, and the shuffle join stands directly on two
 shuffles, the shape in which adaptive execution can still split a partition that turns out large.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -38,6 +42,12 @@ DEFAULT_LIMITS = Limits()
 # Tasks that merge the sketches of all others.
 _MERGERS = 256
 
+# Salts a shuffle partition for a key that owns all rows; with 16 the fullest partition stays near the mean.
+_SPREAD = 16
+
+# Fixed, so that a repeated task draws the same salts.
+_SALT_SEED = 7
+
 
 def fits(rows: int, size: int, limits: Limits = DEFAULT_LIMITS) -> bool:
     return rows <= limits.broadcast_rows and size <= limits.broadcast_bytes
@@ -53,8 +63,8 @@ def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
     return fits(*df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_width(df)), F.lit(0))).first(), limits)
 
 
-def hot_hashes(rows: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS, key_hash: Column | None = None) -> list[int]:
-    """Hashes of the keys that own at least ``hot_rows`` rows, ``hot_keys`` of them at most.
+def hot_counts(rows: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS, key_hash: Column | None = None) -> dict[int, int]:
+    """Hashes of the keys that own at least ``hot_rows`` rows, ``hot_keys`` of them at most, with their counts.
 
     One pass over the key columns with frequent-items sketches of fixed size, merged in two levels: nothing is shuffled
     but sketches. The default size finds every key with a 2,800th of the rows; one it misses is slower, never wrong.
@@ -66,7 +76,12 @@ def hot_hashes(rows: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS,
     # Grouped, as an empty partition has no sketch to combine; no group is left of no rows at all.
     merged = partial.groupBy(F.lit(0).alias("__all")).agg(F.expr(f"approx_top_k_combine(__sketch, {size})").alias("__sketch"))
     top = merged.select(F.expr(f"approx_top_k_estimate(__sketch, {limits.hot_keys})").alias("top")).first()
-    return [entry["item"] for entry in (top.top if top else None) or [] if entry["count"] >= limits.hot_rows]
+    return {entry["item"]: entry["count"] for entry in (top.top if top else None) or [] if entry["count"] >= limits.hot_rows}
+
+
+def hot_hashes(rows: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS, key_hash: Column | None = None) -> list[int]:
+    """The hashes of hot_counts()."""
+    return list(hot_counts(rows, on, limits, key_hash))
 
 
 def _key_hash(rows: DataFrame, lookup: DataFrame, on: list[str]) -> Column:
@@ -82,6 +97,42 @@ def _join(rows: DataFrame, lookup: DataFrame, on: list[str], how: str, null_safe
     return rows.join(renamed, same, how).drop(*[f"__key_{k}" for k in on])
 
 
+def salted_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    history: DataFrame,
+    how: str = "left",
+    null_safe: bool = False,
+    limits: Limits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """A shuffle join whose hot keys are spread over many tasks; ``rows`` may be a stream.
+
+    Keys are hot when they are so in ``history``, static rows with the same key columns that resemble those to come. A
+    key gets salts in proportion to its share, _SPREAD times the number of shuffle partitions for a key that owns all
+    rows: its lookup row is repeated once for each, and a row with that key draws one of them. The shares add up to one,
+    so all replicas together are fewer than _SPREAD rows a partition and one a hot key. A key that the history does not
+    show is joined like any other: slower if it is hot, never wrong. Whatever salt a row draws, the lookup row is there.
+    """
+    spark = rows.sparkSession
+    counts = hot_counts(history, on, limits, _key_hash(history, lookup, on))
+    if not counts:
+        return _join(rows, lookup, on, how, null_safe)
+    total = max(history.count(), sum(counts.values()))
+    most = _SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = [(item, math.ceil(most * n / total)) for item, n in counts.items()]
+    # A row per hot key, at most limits.hot_keys of them.
+    hot = F.broadcast(spark.createDataFrame(salts, "__hash bigint, __salts int"))
+
+    def salted(side: DataFrame, salt: Column) -> DataFrame:
+        hashed = side.withColumn("__hash", _key_hash(rows, lookup, on)).join(hot, "__hash", "left")
+        return hashed.withColumn("__salt", salt).drop("__hash", "__salts")
+
+    drawn = F.floor(F.rand(_SALT_SEED) * F.coalesce("__salts", F.lit(1))).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))
+    return _join(salted(rows, drawn), salted(lookup, each), [*on, "__salt"], how, null_safe).drop("__salt")
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame | Settled,
@@ -90,10 +141,11 @@ def lookup_join(
     null_safe: bool = False,
     small: bool | None = None,
     limits: Limits = DEFAULT_LIMITS,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` (left, left_semi or left_anti) with a lookup that is unique on ``on``.
 
-    ``small`` is the answer of fits_broadcast() for the table the lookup was reduced from, where the caller has it: a
+    ``history`` tells the hot keys of a stream from static rows; without it a stream's hot keys are not split. ``small`` is the answer of fits_broadcast() for the table the lookup was reduced from, where the caller has it: a
     scan of that table is cheaper than building the lookup just to measure it.
     """
     if how not in ("left", "left_semi", "left_anti"):
@@ -104,6 +156,8 @@ def lookup_join(
         lookup = settle(lookup, "lookup")
     if settled_fits(lookup, limits):
         return _join(rows, F.broadcast(lookup.df), on, how, null_safe)
+    if rows.isStreaming and history is not None:
+        return salted_join(rows, lookup.df, on, history, how, null_safe, limits)
     hashed = _key_hash(rows, lookup.df, on)
     hot = [] if rows.isStreaming else hot_hashes(rows, on, limits, hashed)
     if not hot:

@@ -10,6 +10,7 @@ from pyspark.sql.types import TimestampType
 from namewright.operators.mapping import apply_mapping
 from namewright.operators.metrics import bucket_counts
 from namewright.operators.reconcile import rows_to_insert
+from namewright.plans.joins import DEFAULT_LIMITS, Limits
 from namewright.plans.shared import path_exists, released, settle
 
 Trigger = dict[str, object]
@@ -28,12 +29,16 @@ def canonicalise_stream(
     checkpoint: str,
     as_of: Column | None = None,
     trigger: Trigger = ONCE,
+    history: DataFrame | None = None,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> StreamingQuery:
     """Apply the mapping to newly arrived rows and append them to ``out``. Stateless; files appear exactly once.
 
-    Rows already written keep the mapping of their time: rebuild in batch when the mapping changes.
+    Rows already written keep the mapping of their time: remap_changed() brings them up to date when it changes. A mapping
+    beyond the broadcast bounds is joined by shuffle; ``history``, such as what arrived before, then tells which names
+    are hot, and these are split over tasks.
     """
-    mapped = apply_mapping(stream, mapping, col, as_of)
+    mapped = apply_mapping(stream, mapping, col, as_of, limits=limits, history=history)
     writer = mapped.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
     return writer.outputMode("append").trigger(**trigger).start()
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from namewright.operators.mapping import apply_mapping
 from namewright.operators.metrics import bucket_counts
+from namewright.plans.joins import Limits, salted_join
 from namewright.plans.shared import folder_names, shared_dir
 from namewright.streaming.jobs import (
     canonicalise_stream,
@@ -117,3 +118,50 @@ def test_batches_leave_no_settled_folder(spark, folder):
     insert_missing_stream(stream, f"{folder}/out", ["key"], f"{folder}/ck").awaitTermination()
     assert spark.read.parquet(f"{folder}/out").count() == 45
     assert folder_names(spark, there) == before
+
+
+def test_hot_names_of_a_stream_are_split(spark, folder):
+    """Two thirds of the rows have one name; no task may get more than twice the median."""
+    name = F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 12 != 0, F.concat(F.lit("n"), F.col("id") % 500))
+    arrivals = spark.range(6000).select("id", name.alias("name"))
+    arrivals.repartition(5).write.parquet(f"{folder}/in")
+    known = spark.range(400).select(F.concat(F.lit("n"), "id").alias("original"), F.concat(F.lit("N"), "id").alias("normalized"))
+    corrections = known.union(spark.createDataFrame([("hot", "HOT")], known.schema))
+    stamp = F.lit("2024-01-01").cast("timestamp_ntz")
+    limits = Limits(broadcast_rows=0, broadcast_bytes=0, hot_rows=500)
+
+    def per_task(out, **options):
+        stream = spark.readStream.schema(arrivals.schema).parquet(f"{folder}/in")
+        canonicalise_stream(
+            stream, corrections, "name", f"{folder}/{out}", f"{folder}/ck-{out}", stamp, limits=limits, **options
+        ).awaitTermination()
+        done = spark.read.parquet(f"{folder}/{out}")
+        assert same(done, apply_mapping(arrivals, corrections, "name", stamp))
+        counts = [row["count"] for row in done.groupBy(F.input_file_name()).count().collect()]
+        return sorted(counts)
+
+    # As with a large mapping: a true shuffle join, its partitions left as they are.
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for setting, value in settings.items():
+        spark.conf.set(setting, value)
+    try:
+        plain, salted = per_task("plain"), per_task("salted", history=arrivals)
+        none_hot = per_task("cold", history=arrivals.filter("name <> 'hot'"))
+    finally:
+        for setting in settings:
+            spark.conf.unset(setting)
+    assert plain[-1] > 2 * plain[len(plain) // 2] and none_hot == plain
+    assert salted[-1] < 2 * salted[len(salted) // 2]
+
+
+def test_salted_join_of_static_rows(spark):
+    rows_ = spark.createDataFrame([(1 if i % 2 else None if i % 10 == 0 else i, i) for i in range(400)], "k int, i int")
+    lookup = spark.range(0, 300, 3).select(F.col("id").alias("k"), F.lit("x").alias("v")).union(
+        spark.createDataFrame([(1, "one"), (None, "null")], "k bigint, v string")
+    )
+    limits = Limits(hot_rows=20)
+    for how in ("left", "left_semi", "left_anti"):
+        for null_safe in (False, True):
+            got = salted_join(rows_, lookup, ["k"], rows_, how, null_safe, limits)
+            unsplit = salted_join(rows_, lookup, ["k"], rows_.limit(0), how, null_safe, limits)
+            assert same(got, unsplit) and got.count() > 0
