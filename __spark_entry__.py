@@ -518,6 +518,38 @@ def stream_insert_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows")
 
 
+def stream_insert_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in six files in the order of time; each file holds the events of the one before again."""
+    out = fresh_path(spark, "stream-insert")
+    events = st.table(spark, sf_dir, "events").select("ts", "user_id", "event_type")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    slice_of = F.floor((F.unix_timestamp("ts") - F.lit(first).cast("timestamp").cast("bigint")) / ((last - first).total_seconds() / 6 + 1))
+    twice = events.withColumn("file", F.explode(F.array(slice_of, slice_of + 1)))
+    timed = twice.select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "file")
+    for number in range(7):
+        # One file a batch: Spark takes them in the order of their times.
+        timed.filter(F.col("file") == number).drop("file").coalesce(1).write.mode("append").parquet(f"{out}/in")
+    schema = timed.drop("file").schema
+    arrivals = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    delay = f"{int((last - first).total_seconds() / 2)} seconds"
+    jobs.insert_missing_stream(
+        arrivals, f"{out}/rows", ["user_id", "event_type"], f"{out}/checkpoint", buckets=8, repeats=("ts", delay)
+    ).awaitTermination()
+    added = jobs.read_buckets(spark, f"{out}/rows", schema)
+    return added.select("user_id", "event_type")
+
+
+def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as changes and their lines as what was indexed, a year after at most."""
+    out = fresh_path(spark, "stream-lag")
+    orders = _stream(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_orderdate")
+    lines = _stream(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), "l_shipdate")
+    jobs.lag_stream(
+        orders, lines, "key", "o_orderdate", "l_shipdate", f"{out}/rows", f"{out}/checkpoint", "365 days", "30 days"
+    ).awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
 def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_path(spark, "stream-throughput")
     failed = F.col("event_type") == "error"
@@ -637,6 +669,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_canonicalise,
         stream_canonicalise_hot,
         stream_insert_missing,
+        stream_insert_repeats,
+        stream_lag,
         stream_throughput,
         stream_throughput_late,
     ]
@@ -1070,6 +1104,12 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN normalized IS NOT NULL THEN TIMESTAMP '2024-06-01' END AS deduplication_timestamp
             FROM named LEFT JOIN names ON name = original""",
         "stream_insert_missing": "SELECT user_id, min(event_type) AS event_type FROM events GROUP BY 1",
+        "stream_insert_repeats": "SELECT DISTINCT user_id, event_type FROM events",
+        "stream_lag": """
+            SELECT o_orderkey AS key, o_orderdate AS changed_at, l_shipdate AS indexed_at,
+                   date_diff('second', o_orderdate, l_shipdate) AS lag_seconds
+            FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+            WHERE l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 365 DAY""",
         "stream_throughput": _HOURLY,
         "stream_throughput_late": _HOURLY,
     } | _corpus_sql()

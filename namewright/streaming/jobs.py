@@ -1,23 +1,28 @@
-"""Recurring work as streams: canonicalise arrivals, insert what is missing, count live throughput."""
+"""Recurring work as streams: canonicalise arrivals, insert what is missing, live throughput and lag."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import IntegerType, StructField, StructType, TimestampType
 
+from namewright.functions import norm_key
 from namewright.operators.mapping import apply_mapping
 from namewright.operators.metrics import bucket_counts
 from namewright.operators.reconcile import rows_to_insert
 from namewright.plans.joins import DEFAULT_LIMITS, Limits
 from namewright.plans.shared import path_exists, released, settle
+from namewright.sources.tables import require
 
 Trigger = dict[str, object]
 
 # Take what is there and stop. For a recurring run: {"processingTime": "10 minutes"}.
 ONCE: Trigger = {"availableNow": True}
 
+# Folder of a target in buckets.
+BUCKET = "key_bucket"
+
 BUCKET_FIELDS = "t timestamp, count bigint, errors bigint"
 
 
@@ -43,31 +48,112 @@ def canonicalise_stream(
     return writer.outputMode("append").trigger(**trigger).start()
 
 
+def _key_bucket(keys: list[str], buckets: int) -> Column:
+    """Number of the bucket of a row; keys that are compared as equal share one, and so do equal rows without a key."""
+    return F.pmod(F.xxhash64(*[norm_key(F.col(k)) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def read_buckets(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+    """The rows of a target in buckets, without their numbers; none if it does not exist."""
+    if not path_exists(spark, target):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(StructType([*schema.fields, StructField(BUCKET, IntegerType())])).parquet(target).drop(BUCKET)
+
+
 def insert_missing_stream(
-    stream: DataFrame, target: str, keys: list[str], checkpoint: str, trigger: Trigger = ONCE
+    stream: DataFrame,
+    target: str,
+    keys: list[str],
+    checkpoint: str,
+    trigger: Trigger = ONCE,
+    buckets: int | None = None,
+    repeats: tuple[str, str] | None = None,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> StreamingQuery:
     """Append the rows of each batch whose key ``target`` (a Parquet folder) lacks.
 
     A batch that is repeated after a failure finds its rows already there and adds nothing, so no state is kept: the
     target is the state. A batch is read once; what it settles on the way is gone when it is done, and a batch without
     new keys leaves no file.
+
+    With ``buckets`` the target is a folder per hash of the key, and a batch reads the key columns of those buckets only
+    that its keys fall into; read the target with read_buckets(). The number is fixed when the target is made: keep to it.
+
+    ``repeats`` is a time column and a delay such as "1 hour": rows sent again, equal in all columns, then stop at the
+    source, by Spark's state of the rows seen within that delay, before the target is read at all. Spark drops events
+    later than the delay there; dropped_late() tells of them. Without it nothing is dropped. The column must be time
+    zone aware, as watermarks are; it is stored with the other columns.
     """
     schema = stream.schema
+    require(stream, keys, "stream")
+    if buckets is not None and BUCKET in stream.columns:
+        raise ValueError(f"a column named {BUCKET} stands in the way of buckets")
+    if repeats is not None:
+        time_col, delay = repeats
+        stream = stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(stream.columns)
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         with released(spark):
-            arrived = settle(batch, "batch")
-            there = path_exists(spark, target)
-            present = spark.read.schema(schema).parquet(target) if there else spark.createDataFrame([], schema)
-            missing = settle(rows_to_insert(present, arrived.df, keys), "missing")
+            if buckets is None:
+                arrived = settle(batch, "batch").df
+                there = path_exists(spark, target)
+                present = spark.read.schema(schema).parquet(target) if there else spark.createDataFrame([], schema)
+            else:
+                arrived = settle(batch.withColumn(BUCKET, _key_bucket(keys, buckets)), "batch").df
+                present = spark.createDataFrame([], arrived.schema)
+                if path_exists(spark, target):
+                    # At most as many as there are buckets.
+                    touched = [row[0] for row in arrived.select(BUCKET).distinct().collect()]
+                    present = spark.read.schema(arrived.schema).parquet(target).filter(F.col(BUCKET).isin(touched))
+            missing = settle(rows_to_insert(present, arrived, keys, limits), "missing")
             if missing.measures["rows"] > 0:
-                missing.df.write.mode("append").parquet(target)
+                writer = missing.df.write if buckets is None else missing.df.hint("rebalance", BUCKET).write.partitionBy(BUCKET)
+                writer.mode("append").parquet(target)
 
     writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
 
 
+def lag_stream(
+    changes: DataFrame,
+    indexed: DataFrame,
+    key: str,
+    changed_col: str,
+    indexed_col: str,
+    out: str,
+    checkpoint: str,
+    within: str = "1 hour",
+    watermark: str = "10 minutes",
+    trigger: Trigger = ONCE,
+) -> StreamingQuery:
+    """Pair each indexing event with the change it follows, live: (key, changed_at, indexed_at, lag_seconds) in ``out``.
+
+    An interval join of two streams: a change meets the events of its key that come at its time or up to ``within``
+    after it. Spark holds either side as state and lets go of a row once the watermarks say that no partner can come,
+    so state grows with the rows of ``within`` and ``watermark``, not with the stream. Unlike lag_pairs(), which takes the last
+    change of a key, every change of that time counts, as a stream cannot know which will be the last; with one change a
+    key both agree. Null keys and times pair with nothing. Rows later than the watermark are dropped (dropped_late()).
+
+    A pair appears in the batch in which its second row arrives. Lags are whole seconds between the stored times. The
+    number of shuffle partitions is fixed by the first start; a hot key is one state partition's work, as with any
+    stream-stream join.
+    """
+    require(changes, [key, changed_col], "changes")
+    require(indexed, [key, indexed_col], "indexed")
+    since = changes.select(
+        F.col(key).alias("__key"), F.col(changed_col).alias("changed_at"), F.col(changed_col).cast("timestamp").alias("__changed")
+    )
+    events = indexed.select(key, F.col(indexed_col).alias("indexed_at"), F.col(indexed_col).cast("timestamp").alias("__indexed"))
+    latest = F.col("__changed") + F.expr(f"INTERVAL {within}")
+    meets = (F.col(key) == F.col("__key")) & (F.col("__indexed") >= F.col("__changed")) & (F.col("__indexed") <= latest)
+    pairs = events.withWatermark("__indexed", watermark).join(since.withWatermark("__changed", watermark), meets)
+    lag = (F.col("indexed_at") - F.col("changed_at")).cast("interval second")
+    seconds = F.floor(lag.cast("decimal(18, 6)")).cast("bigint").alias("lag_seconds")
+    writer = pairs.select(key, "changed_at", "indexed_at", seconds).writeStream.format("parquet").option("path", out)
+    return writer.option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start()
+
+
 def throughput_stream(
     events: DataFrame,
     time_col: str,
@@ -116,7 +202,7 @@ def latest_buckets(spark: SparkSession, out: str) -> DataFrame:
 
 
 def dropped_late(query: StreamingQuery) -> int:
-    """Groups of late events that a ``final_only`` stream left out, in the progress reports that Spark still holds.
+    """Groups of late events that a stream with a watermark left out, in the progress reports that Spark still holds.
 
     Spark counts them after its partial aggregation, so a group stands for one event or more. It keeps the newest
     ``spark.sql.streaming.numRecentProgressUpdates`` reports; a listener that adds them up as they come sees all.

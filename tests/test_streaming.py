@@ -11,7 +11,9 @@ from namewright.streaming.jobs import (
     canonicalise_stream,
     dropped_late,
     insert_missing_stream,
+    lag_stream,
     latest_buckets,
+    read_buckets,
     throughput_stream,
 )
 
@@ -165,3 +167,98 @@ def test_salted_join_of_static_rows(spark):
             got = salted_join(rows_, lookup, ["k"], rows_, how, null_safe, limits)
             unsplit = salted_join(rows_, lookup, ["k"], rows_.limit(0), how, null_safe, limits)
             assert same(got, unsplit) and got.count() > 0
+
+
+def test_repeats_of_a_stream_stop_before_the_target(spark, folder):
+    """Each of six files holds the rows of an hour and, again, those of the hour before."""
+    start = dt.datetime(2024, 1, 1)
+    schema = "ts timestamp, key string, name string"
+
+    def hour(h):
+        return [(start + dt.timedelta(hours=h, minutes=i), f" K{(h * 40 + i) % 90}" if i % 7 else None, f"n{h}") for i in range(40)]
+
+    for h in range(6):
+        data = hour(h) + (hour(h - 1) if h else [])
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in/h{h}")
+    source = f"{folder}/in/*"
+    arrivals = spark.read.parquet(source).schema
+
+    def run(target, checkpoint, **options):
+        stream = spark.readStream.schema(arrivals).option("maxFilesPerTrigger", 1).parquet(source)
+        query = insert_missing_stream(stream, f"{folder}/{target}", ["key"], f"{folder}/{checkpoint}", **options)
+        query.awaitTermination()
+        return query
+
+    run("plain", "ck0")
+    plain = spark.read.parquet(f"{folder}/plain")
+    assert plain.filter("key IS NOT NULL").count() == len({(h * 40 + i) % 90 for h in range(6) for i in range(40) if i % 7})
+    query = run("buckets", "ck1", buckets=8, repeats=("ts", "80 minutes"))
+    bucketed = read_buckets(spark, f"{folder}/buckets", arrivals)
+    assert same(bucketed, plain) and dropped_late(query) == 0
+    # The rows sent again are met in the state; only rows seen within the delay are held.
+    seen = [report.stateOperators[0] for report in query.recentProgress if report.stateOperators]
+    assert sum(op.numRowsUpdated for op in seen) == 6 * 40
+    assert max(op.numRowsTotal for op in seen) < 6 * 40
+    # Again from the start, as after a lost checkpoint, and with batches of few keys.
+    run("buckets", "ck2", buckets=8)
+    assert same(read_buckets(spark, f"{folder}/buckets", arrivals), plain)
+
+
+def test_batch_leaves_other_buckets_alone(spark, folder):
+    schema = "key string, v int"
+    spark.createDataFrame([(f"k{i}", i) for i in range(60)], schema).coalesce(1).write.parquet(f"{folder}/in/a")
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in/*")
+        insert_missing_stream(stream, f"{folder}/out", ["key"], f"{folder}/ck", buckets=16).awaitTermination()
+        return {name: folder_names(spark, f"{folder}/out/{name}") for name in folder_names(spark, f"{folder}/out") if "=" in name}
+
+    before = run()
+    spark.createDataFrame([("K5 ", -1), ("new", 1)], schema).coalesce(1).write.parquet(f"{folder}/in/b")
+    after = run()
+    changed = [name for name in after if after[name] != before.get(name)]
+    assert len(changed) == 1 and len(before) > 8
+    got = read_buckets(spark, f"{folder}/out", spark.read.schema(schema).parquet(f"{folder}/in/a").schema)
+    assert rows(got) == sorted([(f"k{i}", i) for i in range(60)] + [("new", 1)], key=repr)
+
+
+def test_lag_of_two_streams(spark, folder):
+    """Twelve files a side, an hour each; a change is indexed up to 90 minutes later, every ninth one too late."""
+    start = dt.datetime(2024, 1, 1)
+    changed, indexed = [], []
+    for i in range(240):
+        at = start + dt.timedelta(minutes=3 * i)
+        changed.append((i if i % 40 else None, at))
+        late = dt.timedelta(hours=3) if i % 9 == 0 else dt.timedelta(seconds=(i * 977) % 5400)
+        indexed.append((i if i % 40 else None, at + late))
+    indexed.append((5, start))
+    indexed.append((1000, start))
+
+    def run(out, within):
+        streams = []
+        for name, table, col in (("c", changed, "changed"), ("x", indexed, "indexed")):
+            schema = f"k int, {col} timestamp_ntz"
+            by_hour = sorted(table, key=lambda row: row[1])
+            if out == "a":
+                size = -(-len(by_hour) // 12)
+                for part in range(12):
+                    some = by_hour[part * size : (part + 1) * size]
+                    spark.createDataFrame(some, schema).coalesce(1).write.parquet(f"{folder}/{name}/p{part:02}")
+            streams.append(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/{name}/*"))
+        query = lag_stream(*streams, "k", "changed", "indexed", f"{folder}/{out}", f"{folder}/ck-{out}", within, "4 hours")
+        query.awaitTermination()
+        wanted = []
+        for k, at in changed:
+            for k2, then in indexed:
+                lag = (then - at).total_seconds()
+                if k is not None and k == k2 and 0 <= lag <= (5400 if out == "a" else 14400):
+                    wanted.append((k, at, then, int(lag)))
+        assert rows(spark.read.parquet(f"{folder}/{out}")) == sorted(wanted, key=repr)
+        return query, wanted
+
+    query, wanted = run("a", "90 minutes")
+    assert 150 < len(wanted) < 230 and dropped_late(query) == 0
+    held = [report.stateOperators[0].numRowsTotal for report in query.recentProgress if report.stateOperators]
+    assert max(held) < 0.8 * (len(changed) + len(indexed)) and held[-1] < max(held)
+    _, longer = run("b", "4 hours")
+    assert len(longer) > len(wanted)
