@@ -13,7 +13,7 @@ from namewright import standins as st
 from namewright.functions import iso_utc, random_id, stable_id
 from namewright.operators import duplicates, identity, keys, mapping, merge, metrics, reconcile
 from namewright.plans.joins import Limits
-from namewright.plans import run
+from namewright.plans import run, sql_functions
 from namewright.plans.shared import fresh_path
 from namewright.sources import documents, mapping_csv, tables
 from namewright.streaming import jobs
@@ -21,6 +21,9 @@ from namewright.streaming import jobs
 YEAR_MINUTES = 365 * 24 * 60
 MONTH_MINUTES = 30 * 24 * 60
 
+# Nothing is broadcast but the rows of hot keys.
+HOT = Limits(broadcast_rows=0, broadcast_bytes=0, hot_rows=100)
+
 PASSTHROUGH = ["uuid_institution", "english_name", "parent_institution"]
 GROUP = ["institution", "uuid_country"]
 
@@ -161,6 +164,27 @@ def enrich_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.enrich(rows, countries, "uuid_institution", "uuid_country")
 
 
+def _hot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by customer, a third of them of customer 1; the key is an int here and a bigint among customers."""
+    key = F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey")).cast("int")
+    return st.table(spark, sf_dir, "orders").select("o_orderkey", key.alias("c_custkey"))
+
+
+def enrich_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _hot_orders(spark, sf_dir).withColumn("c_name", F.lit("nobody"))
+    known = st.table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 4 != 2)
+    return identity.enrich(rows, known, "c_custkey", "c_name", HOT)
+
+
+def upsert_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stay unless a customer of theirs is updated; customers arrive with two states each."""
+    customer = st.table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 4 != 1)
+    state = F.col("c_custkey") * 2 + F.lit(1)
+    first = customer.select("c_custkey", F.lit(-1).cast("bigint").alias("o_orderkey"), F.lit(1).alias("ord"))
+    last = customer.select("c_custkey", (-state).alias("o_orderkey"), F.lit(2).alias("ord"))
+    return mapping.upsert(_hot_orders(spark, sf_dir), first.unionByName(last), ["c_custkey"], "ord", HOT)
+
+
 def unify_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = enrich_country(spark, sf_dir)
     return identity.unify_ids(rows, GROUP, "uuid_institution", "uuid_deprecated", "was_deduplicated")
@@ -309,6 +333,46 @@ def compare_tables_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.compare_tables_by_keys(left, right, [("segment", "c_mktsegment"), ("nation", "c_nationkey")])
 
 
+def sql_compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of customers and suppliers, compared by a function called from SQL."""
+    customer = st.table(spark, sf_dir, "customer")
+    number = F.when(F.col("c_custkey") % 4 != 0, F.concat(F.lit(" N"), F.col("c_custkey").cast("string")))
+    customer.select(number.alias("number")).createOrReplaceTempView("compared_customers")
+    supplier = st.table(spark, sf_dir, "supplier")
+    kb = F.when(F.col("s_suppkey") % 5 != 0, F.concat(F.lit("n"), F.col("s_suppkey").cast("string"), F.lit(" ")))
+    supplier.select(kb.alias("kb")).createOrReplaceTempView("compared_suppliers")
+    sql_functions.register_comparison(
+        spark, "compare_tables_by_keys", "compared_customers", "compared_suppliers", [("number", "kb")]
+    )
+    return spark.sql("SELECT * FROM compare_tables_by_keys()")
+
+
+def sql_preview_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose number no supplier has, by a function called from SQL."""
+    st.table(spark, sf_dir, "customer").select("c_custkey", "c_name").createOrReplaceTempView("website_customers")
+    st.table(spark, sf_dir, "supplier").createOrReplaceTempView("known_suppliers")
+    sql_functions.register_preview(
+        spark,
+        "preview_new_customers",
+        "website_customers",
+        "known_suppliers",
+        [("c_custkey", "s_suppkey")],
+        {"fullname": "c_name", "kb_uuid": "CAST(c_custkey AS STRING)"},
+        "uuid_individual",
+    )
+    return spark.sql("SELECT uuid_individual, fullname, kb_uuid FROM preview_new_customers('i:')")
+
+
+def sql_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and ids of parts by scalar functions called from SQL."""
+    sql_functions.register_scalars(spark)
+    st.institution(st.table(spark, sf_dir, "part")).createOrReplaceTempView("named_parts")
+    return spark.sql(
+        "SELECT uuid_institution, norm_key(institution) AS norm, not_blank(institution) AS named, "
+        "stable_id('n:', institution, 8) AS id FROM named_parts"
+    )
+
+
 def preview_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers whose number no supplier has."""
     return reconcile.preview_new_rows(
@@ -409,6 +473,14 @@ def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.table(spark, sf_dir, "orders").select("o_orderkey", iso_utc(F.timestamp_seconds(seconds)).alias("ordered_at"))
 
 
+def lag_pairs_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lags of lines, a third of which belong to one order; order numbers are int here and bigint there."""
+    orders, _ = _lags(spark, sf_dir)
+    key = F.when(F.col("l_linenumber") % 3 == 0, 1).otherwise(F.col("l_orderkey"))
+    lines = st.table(spark, sf_dir, "lineitem").select(key.cast("int").alias("key"), "l_shipdate")
+    return metrics.lag_pairs(orders, lines, "key", "o_orderdate", "l_shipdate", YEAR_MINUTES, limits=HOT)
+
+
 # Documents and tables -------------------------------------------------------------------------------------------------
 
 
@@ -506,7 +578,7 @@ def stream_canonicalise_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{out}/checkpoint",
         st.as_of(),
         history=history,
-        limits=Limits(broadcast_rows=0, broadcast_bytes=0, hot_rows=100),
+        limits=HOT,
     ).awaitTermination()
     return spark.read.parquet(f"{out}/rows")
 
@@ -627,6 +699,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         canonicalise_folded,
         edge_canonicalise,
         enrich_country,
+        enrich_hot,
+        upsert_hot,
         unify_ids,
         unify_ids_dense,
         unify_ids_all,
@@ -647,6 +721,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         compare_tables,
         compare_tables_repeated,
         preview_new,
+        sql_compare_tables,
+        sql_preview_new,
+        sql_keys,
         insert_missing,
         random_ids,
         dedup_stats,
@@ -654,6 +731,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sync_counts,
         sync_lag,
         lag_samples,
+        lag_pairs_hot,
         throughput,
         throughput_summary,
         recent_errors,
@@ -997,6 +1075,40 @@ def oracle_sql() -> dict[str, str]:
             FROM a FULL OUTER JOIN b ON trim(lower(segment)) = trim(lower(c_mktsegment))
                                     AND CAST(nation AS VARCHAR) = CAST(c_nationkey AS VARCHAR)
             GROUP BY ALL""",
+        "sql_compare_tables": """
+            WITH a AS (SELECT CASE WHEN c_custkey % 4 <> 0 THEN ' N' || c_custkey END AS number FROM customer),
+            b AS (SELECT CASE WHEN s_suppkey % 5 <> 0 THEN 'n' || s_suppkey || ' ' END AS kb FROM supplier)
+            SELECT CASE WHEN number IS NOT NULL AND kb IS NOT NULL THEN 'match' WHEN number IS NOT NULL THEN 'only_in_left'
+                        WHEN kb IS NOT NULL THEN 'only_in_right' ELSE 'unknown' END AS match_type,
+                   number AS uuid_left, kb AS uuid_right, count(*) AS pairs
+            FROM a FULL OUTER JOIN b ON trim(lower(number)) = trim(lower(kb))
+            GROUP BY ALL""",
+        "sql_preview_new": """
+            SELECT 'i:' || substr(md5(CAST(c_custkey AS VARCHAR) || chr(31) || c_name), 1, 16) AS uuid_individual,
+                   c_name AS fullname, CAST(c_custkey AS VARCHAR) AS kb_uuid
+            FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)""",
+        "sql_keys": f"""
+            WITH {_NAMES}
+            SELECT uuid_institution, trim(lower(institution)) AS norm, length(trim(institution)) > 0 AS named,
+                   'n:' || substr(md5(institution), 1, 8) AS id
+            FROM institution""",
+        "enrich_hot": """
+            SELECT o_orderkey, o.c_custkey, coalesce(c_name, 'nobody') AS c_name
+            FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS c_custkey FROM orders) o
+            LEFT JOIN customer c ON c.c_custkey = o.c_custkey AND c.c_custkey % 4 <> 2""",
+        "upsert_hot": """
+            WITH target AS (
+                SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS c_custkey FROM orders),
+            updated AS (SELECT c_custkey FROM customer WHERE c_custkey % 4 <> 1)
+            SELECT o_orderkey, c_custkey FROM target WHERE c_custkey NOT IN (SELECT c_custkey FROM updated)
+            UNION ALL SELECT -(c_custkey * 2 + 1), c_custkey FROM updated""",
+        "lag_pairs_hot": """
+            WITH lines AS (
+                SELECT CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE l_orderkey END AS key, l_shipdate FROM lineitem
+                WHERE l_shipdate > (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 525600 MINUTE)
+            SELECT key, o_orderdate AS changed_at, l_shipdate AS indexed_at,
+                   date_diff('second', o_orderdate, l_shipdate) AS lag_seconds
+            FROM lines JOIN orders ON o_orderkey = key""",
         "preview_new": """
             SELECT concat('i:', substr(md5(CAST(c_custkey AS VARCHAR)), 1, 16)) AS uuid_individual,
                    c_name AS fullname, CAST(c_nationkey AS VARCHAR) AS country, CAST(c_custkey AS VARCHAR) AS kb_uuid,
