@@ -121,9 +121,12 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(F.translate(host, upper, upper.lower()), F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def candidate_keys(lengths: Sequence[int]) -> Column:
-    """All keys that a rule fitting ``host`` and ``path`` can have, longest first, each with its hash."""
-    suffixes = "transform(sequence(1, size(split(host, '[.]'))), i -> array_join(slice(split(host, '[.]'), i, 1000), '.'))"
+def candidate_keys(lengths: Sequence[int], labels: int) -> Column:
+    """All keys that a rule fitting ``host`` and ``path`` can have, longest first, each with its hash.
+
+    No rule's path has another length, and no rule's host more ``labels``, so a host of thousands of labels has few keys.
+    """
+    suffixes = f"array_distinct(transform(sequence(1, {labels}), n -> substring_index(host, '.', -n)))"
     prefixes = f"transform(filter(array({', '.join(map(str, lengths))}), n -> n <= length(path)), n -> substring(path, 1, n))"
     keys = f"flatten(transform({suffixes}, s -> transform({prefixes}, p -> concat(s, p))))"
     ranked = f"array_sort(transform({keys}, k -> struct(-length(k) AS rank, k AS key, xxhash64(k) AS h)))"
@@ -134,19 +137,20 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     """One row per page: ``id, host, path, rule, verdict``.
 
     ``rules`` are ``(verdict, host, path)``. A rule fits its host and all subdomains where the url's path starts with the
-    rule's; the longest wins. The keys of a url are its host's suffixes of whole labels, each with the starts of its path
-    that are as long as some rule's path. One cascade holds the rules' keys against all keys of the corpus, another those
+    rule's; the longest wins. The keys of a url are its host's suffixes of whole labels, up to as many as the longest rule
+    has, each with the starts of its path that are as long as some rule's path. One cascade holds the rules' keys against all keys of the corpus, another those
     that block against those that allow. Urls are judged by look-ups in the two, without a join. A url none of whose keys
     is listed has rule null and the verdict ``unlisted``.
 
     A null url, or one without ``://``, has an empty host and path and fits no rule. Repeated rows are judged alike. Of
     contradicting rules with one key, allowing wins. Without rules all is unlisted.
     """
-    lengths = [r.n for r in rules.select(F.length("path").alias("n")).distinct().collect()] or [0]
+    shapes = rules.select(F.length("path").alias("n"), F.size(F.split("host", "[.]")).alias("labels")).distinct().collect()
+    lengths, labels = sorted({shape.n for shape in shapes} or {0}), max((shape.labels for shape in shapes), default=1)
     source = pages.select(quoted(id_col).alias("id"), quoted(url_col).cast("string").alias("__url"))
     host, path = host_and_path(F.col("__url"))
     parsed = source.select("id", host.alias("host"), path.alias("path"))
-    parsed = parsed.withColumn("keys", candidate_keys(sorted(lengths)))
+    parsed = parsed.withColumn("keys", candidate_keys(lengths, labels))
     keyed = rules.select("verdict", F.xxhash64(F.concat("host", "path")).alias("h")).groupBy("h").agg(F.min("verdict").alias("verdict"))
     universe = parsed.select(F.explode("keys.h").alias("h"))
     listed = build_cascade(keyed.select("h"), universe)
