@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import logging
 import uuid
 from collections.abc import Iterable
 from functools import reduce
@@ -12,13 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from namewright.plans.shared import path_exists, write_measured
+from namewright.plans.shared import folder_names, path_exists, write_measured
 
 TABLE_LOG = "table_log"
 TABLE_LOG_FIELDS = "name string, version bigint, path string, rows bigint, written_at timestamp"
 
-# "file:", "hdfs://host:8020", "s3a://bucket" and the like.
-_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+_LOG = logging.getLogger(__name__)
 
 
 class MissingTable(LookupError):
@@ -106,22 +105,22 @@ def write_table(
     return found
 
 
-def _without_scheme(path: str) -> str:
-    return re.sub(_SCHEME, "", path.rstrip("/"))
-
-
 def table_names(spark: SparkSession, base: str) -> list[str]:
-    """Names of the tables under ``base``, from the file listing; no file is opened."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(base)
-        .select("path")
-    )
-    below = F.substr(F.regexp_replace("path", _SCHEME, ""), F.lit(len(_without_scheme(base)) + 2))
-    name = F.regexp_replace(F.substring_index(below, "/", 1), r"\.parquet$", "")
-    return [row["name"] for row in files.select(name.alias("name")).distinct().orderBy("name").collect()]
+    """Names of the tables under ``base``: those in the log, and what plain Parquet lies there.
+
+    A folder without versions is a table if Parquet files or partition folders (``col=value``) lie directly in it. Two levels are
+    listed at most, and none below a table of the log, so the work grows with the tables, not with their files.
+    """
+    logged = {row["name"] for row in table_log(spark, base).select("name").distinct().collect()}
+    names = set(logged)
+    for entry in folder_names(spark, base):
+        if entry.startswith(("_", ".")) or entry == TABLE_LOG or entry in logged:
+            continue
+        if entry.endswith(".parquet"):
+            names.add(entry.removesuffix(".parquet"))
+        elif any(part.endswith(".parquet") or "=" in part for part in folder_names(spark, f"{base}/{entry}")):
+            names.add(entry)
+    return sorted(names)
 
 
 def _counts(tables: dict[str, DataFrame]) -> dict[str, int]:
@@ -131,8 +130,9 @@ def _counts(tables: dict[str, DataFrame]) -> dict[str, int]:
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows") for n, df in tables.items()]
     try:
         return {row["name"]: row["rows"] for row in reduce(DataFrame.unionByName, parts).collect()}
-    except Exception:
+    except Exception as exc:
         if len(tables) == 1:
+            _LOG.warning("cannot count table %s: %s", *tables, exc)
             return dict.fromkeys(tables, -1)
         return {name: n for single in tables.items() for name, n in _counts(dict([single])).items()}
 
@@ -149,8 +149,8 @@ def list_tables(spark: SparkSession, base: str) -> DataFrame:
     for name in names:
         try:
             readable[name] = _load(spark, base, name, versions.get(name), StructType([]))
-        except Exception:
-            continue
+        except Exception as exc:
+            _LOG.warning("cannot read table %s: %s", name, exc)
     counts = {**dict.fromkeys(names, -1), **_counts(readable)}
     return spark.createDataFrame(sorted(counts.items()), "name string, rows bigint").orderBy("name")
 

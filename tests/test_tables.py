@@ -223,3 +223,19 @@ def test_documents_that_cannot_be_parsed_are_kept_apart(spark, folder):
     items = documents.variant_fields(fields, "items", {"n": ("$.n", "string")}, explode="$")
     assert sorted((r.text, r.n) for r in items.filter("text IS NOT NULL").collect() if r.n) == [("1", "2"), ("1", "x")]
     assert items.count() == 6
+
+
+def test_tables_are_named_from_two_levels_and_reasons_are_logged(spark, folder, caplog):
+    data = spark.range(6).select("id", (F.col("id") % 2).alias("half"))
+    write_table(data, folder, "logged")
+    data.write.parquet(f"{folder}/plain")
+    data.write.parquet(f"{folder}/file.parquet")
+    data.write.partitionBy("half").parquet(f"{folder}/parted")
+    data.write.json(f"{folder}/other")
+    data.write.parquet(f"{folder}/deep/below/it")
+    spark.createDataFrame([("no parquet",)], "value string").coalesce(1).write.text(f"{folder}/broken.parquet")
+    with caplog.at_level("WARNING"):
+        listed = [tuple(row) for row in list_tables(spark, folder).collect()]
+    assert listed == [("broken", -1), ("file", 6), ("logged", 6), ("parted", 6), ("plain", 6)]
+    assert "broken" in caplog.text
+    assert list_tables(spark, f"{folder}/nowhere").collect() == []
