@@ -184,6 +184,32 @@ def test_keys_of_many_rows_are_searched_in_slices_first(spark, monkeypatch):
     assert ("x",) in minimal_keys(df, max_columns=2) and ("a",) not in full
 
 
+def test_rows_send_eight_bytes_a_set(spark):
+    df = spark.range(50_000).select("id", F.lit(1).alias("same"), (F.col("id") % 40_000).alias("often"))
+    sets = {0: ("id",), 1: ("often",), 2: ("same",), 3: ("id", "same")}
+    hashes = key_search._wide_hashes(df.coalesce(1), sets, 2)
+    chunks = hashes.mapInArrow(lambda batches: key_search._packed(batches, 16), "bucket int, hashes binary")
+    assert chunks.agg(F.sum(F.length("hashes"))).first()[0] == 8 * (3 * 50_000 + 2)
+    one_by_one = key_search._hashes(df, sets, 1, 2).select("h")
+    assert one_by_one.groupBy("h").count().filter("count > 1").count() == 10_001
+    assert key_search._repeated(key_search.Counted(df, 50_000), list(sets.values()), 1) == {("often",), ("same",)}
+    assert key_search._repeated(key_search.Counted(df, 50_000), list(sets.values()), 8) >= {("often",)}
+
+
+def test_unlike_rows_with_one_hash_are_no_repeat(spark, monkeypatch):
+    df = spark.range(1000).select("id", F.greatest(F.col("id"), F.lit(1)).alias("nearly"))
+    real = key_search._wide_hashes
+
+    def met(*args):
+        hashes = real(*args)
+        low, high = hashes.agg(F.min("h0"), F.max("h0")).first()
+        return hashes.withColumn("h0", F.when(F.col("h0") == low, high).otherwise(F.col("h0")))
+
+    monkeypatch.setattr(key_search, "_wide_hashes", met)
+    assert key_search._repeated(key_search.Counted(df, 1000), [("id",), ("nearly",)], 1) == {("nearly",)}
+    assert minimal_keys(df) == [("id",)]
+
+
 def test_keys_of_odd_tables(spark):
     df = spark.createDataFrame([(0.0, "a", 1), (-0.0, "b", 1)], "x double, `s.t` string, n int")
     assert minimal_keys(df) == [("s.t",)]
