@@ -143,29 +143,49 @@ def lookup_join(
     limits: Limits = DEFAULT_LIMITS,
     history: DataFrame | None = None,
 ) -> DataFrame:
+    """The rows of lookup_parts() together."""
+    return reduce(DataFrame.unionByName, lookup_parts(rows, lookup, on, how, null_safe, small, limits, history))
+
+
+def lookup_parts(
+    rows: DataFrame,
+    lookup: DataFrame | Settled,
+    on: list[str],
+    how: str = "left",
+    null_safe: bool = False,
+    small: bool | None = None,
+    limits: Limits = DEFAULT_LIMITS,
+    history: DataFrame | None = None,
+    hot: list[int] | None = None,
+    hot_side: DataFrame | None = None,
+) -> list[DataFrame]:
     """Join ``rows`` (left, left_semi or left_anti) with a lookup that is unique on ``on``.
 
     ``history`` tells the hot keys of a stream from static rows; without it a stream's hot keys are not split. ``small`` is the answer of fits_broadcast() for the table the lookup was reduced from, where the caller has it: a
-    scan of that table is cheaper than building the lookup just to measure it.
+    scan of that table is cheaper than building the lookup just to measure it. ``hot`` are the hashes of the hot keys, where
+    the caller knows them; ``hot_side`` then may be fewer rows that hold all with these keys.
+
+    No key is in two parts, and after a shuffle join the rows of a part are still dealt out by the key.
     """
     if how not in ("left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
     if isinstance(lookup, DataFrame):
         if small if small is not None else fits_broadcast(lookup, limits):
-            return _join(rows, F.broadcast(lookup), on, how, null_safe)
+            return [_join(rows, F.broadcast(lookup), on, how, null_safe)]
         lookup = settle(lookup, "lookup")
     if settled_fits(lookup, limits):
-        return _join(rows, F.broadcast(lookup.df), on, how, null_safe)
+        return [_join(rows, F.broadcast(lookup.df), on, how, null_safe)]
     if rows.isStreaming and history is not None:
-        return salted_join(rows, lookup.df, on, history, how, null_safe, limits)
+        return [salted_join(rows, lookup.df, on, history, how, null_safe, limits)]
     hashed = _key_hash(rows, lookup.df, on)
-    hot = [] if rows.isStreaming else hot_hashes(rows, on, limits, hashed)
+    if hot is None:
+        hot = [] if rows.isStreaming else hot_hashes(rows, on, limits, hashed)
     if not hot:
-        return _join(rows, lookup.df, on, how, null_safe)
+        return [_join(rows, lookup.df, on, how, null_safe)]
     is_hot = hashed.isin(hot)
     spread = _join(rows.filter(~is_hot), lookup.df.filter(~is_hot), on, how, null_safe)
-    pinned = _join(rows.filter(is_hot), F.broadcast(lookup.df.filter(is_hot)), on, how, null_safe)
-    return spread.unionByName(pinned)
+    pinned = _join((rows if hot_side is None else hot_side).filter(is_hot), F.broadcast(lookup.df.filter(is_hot)), on, how, null_safe)
+    return [spread, pinned]
 
 
 def few_keys(df: DataFrame, on: list[str], limits: Limits = DEFAULT_LIMITS) -> bool:

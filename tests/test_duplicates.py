@@ -108,6 +108,25 @@ def test_copies_of_one_id_are_all_there(spark):
     assert max(len(r["ids"]) for r in lists) <= 200
 
 
+@pytest.mark.parametrize("limits", [DEFAULT_LIMITS, SHUFFLED, TIGHT], ids=["small", "shuffled", "hot"])
+def test_ids_take_one_shuffle_to_their_list(spark, limits):
+    df = spark.range(600).select("id", (F.col("id") % 4).alias("v"), (F.col("id") % 290).alias("w"))
+    report = duplicates_report(df, keys=["id"], id_col="id", ids_per_list=20, limits=limits)
+    # A row is shuffled once, in the branch of hot values or in the other.
+    assert plan(report).count("Exchange hashpartitioning") <= (2 if limits is TIGHT else 1)
+    wanted = Counter((c, str(i % m), i) for c, m in (("v", 4), ("w", 290)) for i in range(600))
+    assert Counter((r["column"], r["value"], i) for r in report.collect() for i in r["ids"]) == wanted
+
+
+@pytest.mark.parametrize("limits", [DEFAULT_LIMITS, TIGHT], ids=["small", "hot"])
+def test_lists_of_hot_null_and_rare_ids_are_one_a_part(spark, limits):
+    ids = F.when(F.col("n") < 200, 1).when(F.col("n") < 260, None).otherwise(F.col("n"))
+    df = spark.range(500).toDF("n").select(ids.alias("id"), F.when(F.col("n") % 2 == 0, "long " * 30).otherwise("x").alias("v"))
+    lists = duplicates_report(df, columns=["v"], id_col="id", ids_per_list=30, limits=limits).collect()
+    assert Counter((r["value"], i) for r in lists for i in r["ids"]) == Counter((r["v"], r["id"]) for r in df.collect())
+    assert len({(r["value"], r["part"]) for r in lists}) == len(lists) and max(len(r["ids"]) for r in lists) <= 150
+
+
 def test_records_equal_brute_force(spark):
     df = spark.range(400).select("id", (F.col("id") % 150).alias("a"), F.lit("same").alias("b"), F.col("id").alias("c"))
     got = Counter((r["dup_column"], r["id"]) for r in duplicate_records(df, keys=["id"], limit=500).collect())
